@@ -1,8 +1,9 @@
 """Abusive, hateful or sexual content: lexicon and style features, gradient-boosted trees, isotonic calibration.
 
-Each passage (sentence or line) of a document gives dense features; a document has their maxima, as one passage is enough
-to make it offensive. Trees are boosted on the features of labelled documents, scores are calibrated on predictions for
-held-out halves, and every document gets a probability.
+Each passage (sentence or line) of a document gives dense features, and a document scores as its worst passage, as one is
+enough to make it offensive. Judgements are of documents, so the trees are boosted twice: first with the passage of each
+offensive document that has most evidence, then with the one that the first trees score highest. Scores are calibrated on
+predictions for held-out halves, and every document gets a probability.
 """
 
 from __future__ import annotations
@@ -46,7 +47,8 @@ LEXICON = {
     "bodily": "sex bed knees legs clothes body breasts penis vagina skirt bra sexual sexo sexe",
     "official": """conduct policy policies bans ban banned report reported reports recorded record form line lines column education screening breast
         clinic health survey counselling prevention assault harassment statistics census course unit nursing team safety courses code
-        insults threats explicit gender women men count rate process job biathlon staff training""",
+        insults threats explicit gender women men count rate process job biathlon staff training drawing figure class anatomy kennel
+        vet pups pheasant farm forestry dam""",
     "group": """foreigners immigrants migrants refugees cripples disabled women men jews muslims blacks whites gays lesbians gypsies natives peasants
         people folk goers extranjeros mujeres inmigrantes etrangers femmes immigres auslander frauen fluchtlinge""",
     "all_of": "all those these every each never keep los las todos tous toutes les alle diese",
@@ -64,11 +66,11 @@ PHRASES = {
         |never hire|lie and steal|in the kitchen|too stupid to|cleaner place without|without a single one|near a classroom|back to your|echarlos|mussen weg|doivent partir
         |drag the|a disease in|they are animals|foutre dehors|raus mit|fuera los""",
     "sexact": r"""pushed inside|between (?:the|her|his) legs|on (?:her|his) knees|clothes off|got hard|had sex|have sex|nudes|naked (?:women|men|girls)|full video|both came
-        |fuck (?:you|her|him|me) (?:on|all|hard|in)|dick is|licked (?:her|him)|sucked (?:his|her|him)|naked tits|bare ass|te follar|quiero follar|te baiser|dich (?:nackt|ficken)|toute nue|send me .{0,12}nude""",
+        |fuck (?:you|her|him|me) (?:on|all|hard|in)|dick is|licked (?:her|him)|sucked (?:his|her|him)|naked tits|bare ass|te follar|quiero follar|te baiser|dich (?:nackt|ficken)|toute nue|touching (?:myself|yourself)|live sex|wet (?:girls|women)|sex (?:show|chat|video)s?|send me .{0,12}nude""",
     "insulting": r"""brain ?dead|nobody likes you|mother must be|nobody would|waste of|give up on you|gave up on you|trained monkey|go and cry|laughs? at (?:you|your)|make me sick
         |shut (?:your|the)|you (?:are|re) (?:such )?an? (?!\w+ (?:user|unit))|piece of|sack of|only an? .{0,30} could|what an? |get lost|go fuck|fuck (?:you|off)|va te|ferme ta|callate|halt die|eres un|tu es un|du bist ein|pedazo de|hijo de|lick my|never been loved""",
     "official": r"""code of conduct|sex as recorded|sexual (?:assault|harassment|health)|sex education|human sexuality|breast (?:cancer )?screening|explicit pictures|killed one job
-        |the process|shot count|separate lines|recorded sex|my own|honestly|statistics|same-sex|sex (?:ratio|distribution|of the)""",
+        |the process|shot count|separate lines|recorded sex|my own|honestly|statistics|same-sex|sex (?:ratio|distribution|of the)|figure drawing|vet school""",
 }
 _LEX_OF: dict[str, list[int]] = {}
 for _k, _words in enumerate(LEXICON.values()):
@@ -87,6 +89,12 @@ FEATURES = [
     "density_hard", "evidence", "learned_max", "learned_sum",
 ]
 
+#: Features that can only speak for an offence: a tree may not let a larger value lower the score.
+RISING = [
+    i for i, f in enumerate(FEATURES)
+    if f not in ("lex_mild", "lex_official", "lex_group", "lex_all_of", "lex_second", "lex_self", "lex_bodily", "phrase_official", "hidden", "capitals", "exclamations", "density_hard")
+]
+
 _TAG = re.compile(r"<[^<>]{0,300}>")
 _SPLIT = re.compile(r"(?<=[.!?])\s+|\n+")
 _SPACED = re.compile(r"(?<![\w@$*])[^\W_](?:[ .\-_*][^\W_]){2,}(?![\w@$*])")
@@ -188,9 +196,9 @@ def passage_features(passage: str, learned: list[dict[str, float]]) -> list[floa
 
 
 def document_features(text: str | None, learned: list[dict[str, float]]) -> np.ndarray:
-    """Maxima over the passages of a document; zeros for null and empty texts. Repeated passages are looked at once."""
+    """One row per different passage of a document, repeats left out; a row of zeros for null and empty texts."""
     rows = [passage_features(p, learned) for p in dict.fromkeys(passages(text or ""))]
-    return np.max(np.array(rows, dtype=np.float32), axis=0) if rows else np.zeros(len(FEATURES), np.float32)
+    return np.unique(np.round(np.array(rows or [[0.0] * len(FEATURES)], dtype=np.float32), 2), axis=0)
 
 
 # --- trees and calibration
@@ -216,9 +224,9 @@ class Trees:
         return out
 
 
-def boost(x: np.ndarray, y: np.ndarray, rounds: int = 120, depth: int = 3, rate: float = 0.12, bins: int = 32, least: float = 1.0, ridge: float = 1.0) -> Trees:
-    """Gradient boosting with histograms over quantile bins; a node is split while the gain is positive."""
-    mean = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
+def boost(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 100, depth: int = 3, rate: float = 0.12, bins: int = 32, least: float = 1.0, ridge: float = 1.0) -> Trees:
+    """Gradient boosting of weighted rows with histograms over quantile bins; a node is split while the gain is positive."""
+    mean = min(max(float(np.average(y, weights=weight)), 1e-3), 1 - 1e-3)
     base = float(np.log(mean / (1 - mean)))
     cuts = [np.unique(np.quantile(x[:, f], np.linspace(0, 1, bins + 1)[1:-1])) for f in range(x.shape[1])]
     for f in range(x.shape[1]):  # rare features: their few values, which quantiles miss
@@ -229,7 +237,7 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 120, depth: int = 3, rate:
     size = 2 ** (depth + 1) - 1
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-margin))
-        g, h = p - y, p * (1 - p)
+        g, h = (p - y) * weight, p * (1 - p) * weight
         feature, cut, value = np.full(size, -1), np.zeros(size), np.zeros(size)
         where = {0: np.arange(len(y))}
         for node in range(size):
@@ -247,6 +255,8 @@ def boost(x: np.ndarray, y: np.ndarray, rounds: int = 120, depth: int = 3, rate:
                     hl = np.cumsum(np.bincount(code[rows, f], h[rows], len(c) + 1))[:-1]
                     gain = gl**2 / (hl + ridge) + (gs - gl) ** 2 / (hs - hl + ridge) - gs**2 / (hs + ridge)
                     gain[(hl < least * 0.1) | (hs - hl < least * 0.1)] = 0
+                    if f in RISING:  # minus the gradient over the curvature is a side's value
+                        gain[(gs - gl) / (hs - hl + ridge) > gl / (hl + ridge)] = 0
                     k = int(gain.argmax())
                     if gain[k] > best[0]:
                         best = (float(gain[k]), f, k)
@@ -283,10 +293,30 @@ class Model:
     trees: Trees | None
     curve: tuple[np.ndarray, np.ndarray] | None
 
-    def probability(self, x: np.ndarray) -> np.ndarray:
+    def probabilities(self, documents: list[np.ndarray]) -> np.ndarray:
+        """Of each document, given as its passages' features."""
+        if not documents:
+            return np.zeros(0)
+        x = np.concatenate(documents)
+        first = np.concatenate([[0], np.cumsum([len(d) for d in documents])[:-1]])
         if self.trees is None or self.curve is None:
-            return 1 / (1 + np.exp(-1.5 * (x[:, FEATURES.index("evidence")] - 2.0)))
-        return np.interp(self.trees.margin(x), *self.curve)
+            return 1 / (1 + np.exp(-1.5 * (np.maximum.reduceat(x[:, FEATURES.index("evidence")], first) - 2.0)))
+        return np.interp(np.maximum.reduceat(self.trees.margin(x), first), *self.curve)
+
+
+def boost_passages(x: np.ndarray, doc: np.ndarray, y: np.ndarray) -> Trees:
+    """Trees from the passages of judged documents (``doc`` ascending): all passages of harmless documents, and of each
+    offensive one the passage that stands out most, chosen by evidence first and by the trees so made the second time."""
+    score = x[:, FEATURES.index("evidence")] + 0.3 * x[:, FEATURES.index("learned_sum")]
+    trees = None
+    for _ in range(2):
+        order = np.lexsort((-score, doc))
+        top = order[np.concatenate([[True], doc[order][1:] != doc[order][:-1]])]
+        chosen = np.concatenate([np.flatnonzero(y == 0), top[y[top] == 1]])
+        rows, weight = np.unique(np.column_stack([x[chosen], y[chosen]]), axis=0, return_counts=True)
+        trees = boost(rows[:, :-1], rows[:, -1].astype(float), weight.astype(float))
+        score = trees.margin(x)
+    return trees
 
 
 #: The classifier is fitted on at most so many labelled documents, taken in the order of a hash of their id.
@@ -338,19 +368,22 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
 
     def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [document_features(t, [lexicons[1 - h]]) for t, h in zip(b.text, b.half)]
-            yield pd.DataFrame({"doc_id": b.doc_id, "y": b.y, "half": b.half, "x": [r.tolist() for r in rows]})
+            rows = [(d, y, h, r.tolist()) for d, y, h, t in zip(b.doc_id, b.y, b.half, b.text) for r in document_features(t, [lexicons[1 - h]])]
+            yield pd.DataFrame(rows, columns=["doc_id", "y", "half", "x"])
 
-    got = sample.mapInPandas(featurise, "doc_id long, y int, half int, x array<float>").toPandas().sort_values("doc_id")
-    y = got.y.to_numpy(dtype=float)
-    if min((y == 1).sum(), (y == 0).sum()) < MIN_EACH:
+    got = sample.mapInPandas(featurise, "doc_id long, y int, half int, x array<float>").toPandas().sort_values("doc_id", kind="stable")
+    judgement = got.groupby("doc_id").y.first()
+    if min((judgement == 1).sum(), (judgement == 0).sum()) < MIN_EACH:
         return Model([t for t in lexicons if t], None, None)
-    x, h = np.stack(got.x.to_numpy()).astype(np.float32), got.half.to_numpy()
+    x, doc, y, h = np.stack(got.x.to_numpy()).astype(np.float32), got.doc_id.to_numpy(), got.y.to_numpy(), got.half.to_numpy()
     held = np.zeros(len(y))
     for k in (0, 1):
         train = h != k
-        held[~train] = boost(x[train], y[train]).margin(x[~train])
-    return Model(lexicons, boost(x, y), isotonic(held, y))
+        if not (y[train] == 1).any() or not (y[train] == 0).any():
+            return Model([t for t in lexicons if t], None, None)
+        held[~train] = boost_passages(x[train], doc[train], y[train]).margin(x[~train])
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    return Model(lexicons, boost_passages(x, doc, y), isotonic(np.maximum.reduceat(held, first), y[first]))
 
 
 def scores(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -363,8 +396,8 @@ def scores(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> D
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            x = np.stack([document_features(t, model.learned) for t in b.text]) if len(b) else np.zeros((0, len(FEATURES)), np.float32)
-            yield pd.DataFrame({"doc_id": b.doc_id, "source": b.source, "probability": model.probability(x)})
+            p = model.probabilities([document_features(t, model.learned) for t in b.text])
+            yield pd.DataFrame({"doc_id": b.doc_id, "source": b.source, "probability": p})
 
     rows = documents.select("doc_id", T.source_key(F.col("source")).alias("source"), "text")
     got = rows.mapInPandas(score, "doc_id long, source string, probability double")
