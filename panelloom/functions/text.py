@@ -140,3 +140,8 @@ def recency(loaded_at: Column, row_id: Column) -> Column:
     """
     micros = F.unix_micros(loaded_at.cast("timestamp")).cast("decimal(18,0)")
     return (micros * F.lit("1" + "0" * 19).cast("decimal(20,0)") + row_id.cast("decimal(19,0)")).cast("decimal(38,0)")
+
+
+def read_plain_double(c: Column) -> Column:
+    """``try_cast`` to a double without the engine's extras: no type suffixes, no digit separators; null on failure."""
+    return F.when(~c.rlike("[dDfF]$|_"), c.try_cast("double"))
