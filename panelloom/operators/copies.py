@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
+from panelloom.runtime import pick
 
 #: Fields that are compared as trimmed text; all others are compared as numbers where they read as one.
 TEXT_FIELDS = ("INSTNM", "OPEID")
@@ -22,7 +23,7 @@ def comparable(field: Column, value: Column, text_fields: tuple[str, ...] = TEXT
 def signed_cells(df: DataFrame, value: str, sign: int, text_fields: tuple[str, ...] = TEXT_FIELDS) -> DataFrame:
     """Key-field-value rows of one copy: +1 for the baseline, -1 for the current one."""
     field = T.varname(F.col("field"))
-    return df.select(
+    return pick(df, "relative_path", "UNITID", "year", "field", value).select(
         T.path_key(F.col("relative_path")).alias("relative_path"), "UNITID", "year", field.alias("field"),
         comparable(field, F.col(value), text_fields).alias("value"), F.lit(sign).alias("sign"),
     )

@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType, DataType, MapType, StructType
 
 from panelloom.functions import text as T
 from panelloom.operators.orphans import PARENT_KEY, parent_delta
-from panelloom.runtime import bounded, materialise
+from panelloom.runtime import bounded, materialise, pick
 
 # Costs of the edit operations. A renamed or renumbered field is cheaper than a delete and an add.
 ADD = DELETE = 1.0
@@ -171,7 +171,7 @@ def file_schemas(panel: DataFrame, dictionary: DataFrame) -> DataFrame:
     """
     index = bounded(parent_delta(dictionary).select(*PARENT_KEY))
     numeric = T.declared_numeric(F.col("DataType"))
-    rows = panel.select(
+    rows = pick(panel, "source_file", "varnumber", "year", "varname", "DataType").select(
         T.source_file(F.col("source_file")).alias("source_file"), T.varnumber(F.col("varnumber")).alias("varnumber"),
         F.col("year").cast("int").alias("year"), T.varname(F.col("varname")).alias("varname"), numeric.alias("num"),
     )
@@ -275,7 +275,7 @@ def consistent(panel: DataFrame, dictionary: DataFrame) -> DataFrame:
     """
     plan = bounded(materialise(projections(file_schemas(panel, dictionary)), "projections"))
     value = T.null_if_token(F.col("value"))
-    rows = panel.select(
+    rows = pick(panel, "row_id", "UNITID", "year", "source_file", "varname", "varnumber", "value").select(
         "row_id", "UNITID", F.col("year").cast("int").alias("year"), T.source_file(F.col("source_file")).alias("source_file"),
         T.varname(F.col("varname")).alias("varname"), T.varnumber(F.col("varnumber")).alias("varnumber"), value.alias("value"),
     )

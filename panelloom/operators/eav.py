@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
-from panelloom.runtime import bounded, fits_broadcast, materialise
+from panelloom.runtime import bounded, materialise, pick
 
 #: Attributes in one narrow table; a block's unparsed cells are kept as bits of one BIGINT.
 BLOCK = 48
@@ -113,6 +113,7 @@ def wide_table(panel: DataFrame, block: int = BLOCK) -> DataFrame:
     key, and the completed tables are combined pairwise, level by level. Since each holds every key, that is the full
     outer join of all narrow tables, and no level shuffles again.
     """
+    panel = pick(panel, "UNITID", "year", "varname", "value", "DataType", "loaded_at", "row_id")
     types = materialise(declared_types(panel), "types")
     plan = plan_attributes(types, block)
     cells = narrow_tables(panel, types, plan)
@@ -147,6 +148,3 @@ def _named_bits(mask: str, names: list[str]) -> Column:
 def unparsed_cells(wide: DataFrame) -> DataFrame:
     """(UNITID, year, varname) of the cells whose values are declared numeric and don't read as a number."""
     return wide.select("UNITID", "year", F.explode("unparsed").alias("varname"))
-
-
-__all__ = ["declared_types", "plan_attributes", "narrow_tables", "wide_table", "unparsed_cells", "fits_broadcast"]

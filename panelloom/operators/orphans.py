@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
-from panelloom.runtime import bounded
+from panelloom.runtime import bounded, pick
 
 PARENT_KEY = ["source_file", "varnumber", "year"]
 
@@ -24,7 +24,8 @@ PARENT_KEY = ["source_file", "varnumber", "year"]
 def parent_delta(dictionary: DataFrame, sign: int = 1) -> DataFrame:
     """Signed parent keys of dictionary rows that have a varnumber; keys are normalised, repeats are counted."""
     return (
-        dictionary.select(T.source_file(F.col("source_file")).alias("source_file"), T.varnumber(F.col("varnumber")).alias("varnumber"), F.col("year").cast("int").alias("year"))
+        pick(dictionary, "source_file", "varnumber", "year")
+        .select(T.source_file(F.col("source_file")).alias("source_file"), T.varnumber(F.col("varnumber")).alias("varnumber"), F.col("year").cast("int").alias("year"))
         .where("varnumber is not null and year is not null")
         .groupBy(*PARENT_KEY)
         .agg((F.count(F.lit(1)) * sign).alias("n"))
@@ -55,7 +56,7 @@ def orphan_kind(year: Column, years: Column) -> Column:
 
 def panel_references(panel: DataFrame) -> DataFrame:
     """References of panel rows that have a varnumber: (table_name, record_id, source_file, varnumber, year)."""
-    return panel.select(
+    return pick(panel, "row_id", "source_file", "varnumber", "year").select(
         F.lit("panel_long").alias("table_name"), F.col("row_id").alias("record_id"), T.source_file(F.col("source_file")).alias("source_file"),
         T.varnumber(F.col("varnumber")).alias("varnumber"), F.coalesce(F.col("year").cast("int"), F.lit(0)).alias("year"),
     ).where("varnumber is not null")
@@ -64,7 +65,7 @@ def panel_references(panel: DataFrame) -> DataFrame:
 def override_references(overrides: DataFrame) -> DataFrame:
     """References of overrides that select a varnumber; an empty or unreadable year is 0, an empty source ''."""
     year = T.null_if_token(F.col("year").cast("string")).try_cast("double").try_cast("int")
-    return overrides.select(
+    return pick(overrides, "override_id", "source_file", "selected_varnumber", "year").select(
         F.lit("dictionary_ambiguity_overrides").alias("table_name"), F.col("override_id").alias("record_id"),
         F.when(T.is_empty(F.col("source_file")), F.lit("")).otherwise(T.source_file(F.col("source_file"))).alias("source_file"),
         T.varnumber(F.col("selected_varnumber")).alias("varnumber"), F.coalesce(year, F.lit(0)).alias("year"),

@@ -39,7 +39,7 @@ def related(profile: DataFrame) -> DataFrame:
     """(varname, other, score, rank): the most alike variables of each, by shared source, form, name root and words.
 
     Pairs come from shared keys (a word, a root, a source with the same form), never from all pairs; a pair without a
-    shared key can't reach the least score. Words that stand in more than a tenth of the variables are no keys.
+    shared key can't reach the least score. Variables are metadata: their number doesn't grow with the rows.
     """
     words = F.array_distinct(F.filter(F.split(F.lower(F.concat_ws(" ", "title", "varname")), "[^a-z0-9]+"), lambda w: (F.length(w) > 2) & ~w.isin(*COMMON_WORDS)))
     v = profile.select("varname", "primary_source", "variable_form", words.alias("words"), F.regexp_extract("varname", "^([A-Z]{3})", 1).alias("root"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
 from panelloom.operators.ranking import median_of_others
+from panelloom.runtime import pick
 
 COLUMN_NAME_RE = "^[A-Z][A-Z0-9_]*$"
 COUNTS = ["non_empty_tokens", "parsed_numeric_tokens", "failed_parse_tokens"]
@@ -84,6 +85,7 @@ def report_issues(report: DataFrame, failure_step: float = 0.10) -> DataFrame:
     ``failure_shift`` compare a row with the exact medians over the entries of other years. A row whose run and column
     have no other year has neither. Null run ids or years never have a shift. An empty report gives no issue.
     """
+    report = pick(report, "report_id", "run_id", "year", "column", *COUNTS)
     n, ok, bad = (F.col(c) for c in COUNTS)
     missing = n.isNull() | ok.isNull() | bad.isNull()
     wrong = ~missing & ((F.least(*COUNTS) < 0) | (ok + bad != n))

@@ -17,8 +17,11 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], weight: Co
 
     ``order`` should make rows of a group unique, else ties come in any order. Null weights count as 0, null group
     keys form a group of their own. An empty table gives an empty table. The range-sorted rows are written once to the
-    shared folder, so that both the offsets and the rows see the same partition bounds.
+    shared folder, so that both the offsets and the rows see the same partition bounds. Columns of ``df`` must not be named
+    position or before, or start with an underscore (ValueError).
     """
+    if clash := [c for c in df.columns if c.lower() in ("position", "before") or c.startswith("_")]:
+        raise ValueError(f"columns would clash: {clash}")
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c) for c in (*group, *order)]
     w = F.coalesce(weight.cast("bigint"), F.lit(0)) if weight is not None else F.lit(0).cast("bigint")

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.functions import sql as S
-from panelloom.functions import text as T
 from panelloom.operators import copies, drifting, eav, orphans, quality_profile
 
 
@@ -226,5 +225,3 @@ ORACLES = {
     "p1_found": P1_FOUND, "p1_cells": P1_CELLS, "p2_found": P2_FOUND, "p2_summary": P2_SUMMARY, "p4_found": P4_FOUND, "p4_profile": P4_PROFILE,
     "p4_drift": P4_DRIFT, "p5_found": P5_FOUND, "p5_periods": P5_PERIODS, "p5_state": P5_STATE, "p6_found": P6_FOUND, "p6_schemas": P6_SCHEMAS,
 }
-
-__all__ = ["QUERIES", "ORACLES", "table", "T"]

@@ -6,13 +6,10 @@ cleaning queries is the release copy put into one row per unit and year.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions import labels as L
-from panelloom.functions import policy as P
 from panelloom.functions import sql as S
 from panelloom.functions import text as T
 from panelloom.operators import clean, compare, dictionary, gates, longform, profile, structure, wide
@@ -98,10 +95,6 @@ def lake(spark, d) -> DataFrame:
     return dictionary.normalised(table(spark, d, "dictionary_lake"))
 
 
-def active_rows(spark, d) -> DataFrame:
-    return wide.active_indicators(kept_rows(spark, d), wide.indicator_map(lake(spark, d)))
-
-
 @query(f"WITH {_STAGE} SELECT * FROM stage")
 def stage_projection(spark, d):
     return staged(spark, d)
@@ -167,32 +160,47 @@ def indicator_groups(spark, d):
     return wide.indicator_map(lake(spark, d))
 
 
-@query(f"{_DISC} SELECT * FROM active")
+# Orders as one-hot indicators: one variable per priority, on or off by status.
+_ORD = """WITH kept AS (SELECT UNITID, year, varname, min(value) AS value, value AS value_norm, source_file, varnumber FROM (SELECT o_custkey AS "UNITID", CAST(year(o_orderdate) AS INTEGER) AS year, 'PRIO' || o_orderpriority[1] AS varname,
+  CASE o_orderstatus WHEN 'F' THEN 'no' WHEN 'O' THEN '1' ELSE 'yes' END AS value, CASE WHEN o_orderkey % 3 = 0 THEN 'IC' ELSE 'ORD' END AS source_file, '' AS varnumber FROM orders) GROUP BY ALL),
+ ind AS (SELECT varname, 'PRIO' AS base, varname[5:] AS suffix FROM (SELECT DISTINCT varname FROM kept)),""" + _IND[_IND.index(" ranked AS"):]
+
+
+def order_indicators(spark, d) -> tuple[DataFrame, DataFrame]:
+    status = F.when(F.col("o_orderstatus") == "F", "no").when(F.col("o_orderstatus") == "O", "1").otherwise("yes")
+    rows = table(spark, d, "orders").select(
+        F.col("o_custkey").alias("UNITID"), F.year("o_orderdate").alias("year"), F.concat(F.lit("PRIO"), F.substring("o_orderpriority", 1, 1)).alias("varname"), status.alias("value"), status.alias("value_norm"),
+        F.when(F.col("o_orderkey") % 3 == 0, "IC").otherwise("ORD").alias("source_file"), F.lit("").alias("varnumber"),
+    )
+    base, suffix = L.split_indicator(F.col("varname"))
+    return wide.base_rows(rows), rows.select("varname").distinct().select("varname", base.alias("base"), suffix.alias("suffix"))
+
+
+@query(f"{_ORD} SELECT * FROM active")
 def indicator_active(spark, d):
-    return active_rows(spark, d)
+    return wide.active_indicators(*order_indicators(spark, d))
 
 
-@query(f"{_DISC} SELECT * FROM choice")
+@query(f"{_ORD} SELECT * FROM choice")
 def indicator_choice(spark, d):
-    return wide.indicator_choice(active_rows(spark, d))
+    return wide.indicator_choice(indicator_active(spark, d))
 
 
-@query(f"""{_DISC} SELECT * FROM kept ANTI JOIN ind USING (varname) UNION ALL
- SELECT UNITID, year, CASE WHEN base IN (SELECT varname FROM kept) THEN base || '_CAT' ELSE base END AS varname, chosen_suffix, chosen_suffix, '', '' FROM choice WHERE n_active = 1""".replace(
-    "SELECT * FROM kept ANTI", "SELECT UNITID, year, varname, value, value_norm, source_file, varnumber FROM kept ANTI"))
+@query(f"""{_ORD} SELECT UNITID, year, varname, value, value_norm, source_file, varnumber FROM kept ANTI JOIN ind USING (varname) UNION ALL
+ SELECT UNITID, year, CASE WHEN base IN (SELECT varname FROM kept) THEN base || '_CAT' ELSE base END AS varname, chosen_suffix, chosen_suffix, '', '' FROM choice WHERE n_active = 1""")
 def indicator_collapse(spark, d):
-    rows, groups = kept_rows(spark, d), wide.indicator_map(lake(spark, d))
+    rows, groups = order_indicators(spark, d)
     return wide.collapse(rows, groups, wide.indicator_choice(wide.active_indicators(rows, groups)))
 
 
 _EXPECTED = S.listed("|".join(p) for p in L.EXPECTED_CONFLICTS)
 
 
-@query(f"""{_DISC} SELECT year, source_file, base, count(*) AS row_count, count(DISTINCT UNITID) AS unit_years, min(n_active) AS min_n_active, max(n_active) AS max_n_active,
+@query(f"""{_ORD} SELECT year, source_file, base, count(*) AS row_count, count(DISTINCT UNITID) AS unit_years, min(n_active) AS min_n_active, max(n_active) AS max_n_active,
  count(DISTINCT suffix) AS distinct_suffixes, CASE WHEN source_file || '|' || base IN {_EXPECTED} THEN 'expected' WHEN count(*) >= 25 THEN 'high' ELSE 'low' END AS signal_level
  FROM active JOIN choice USING (UNITID, year, base) WHERE n_active > 1 GROUP BY year, source_file, base""")
 def indicator_conflict_summary(spark, d):
-    active = active_rows(spark, d)
+    active = indicator_active(spark, d)
     return wide.indicator_conflicts(active, wide.indicator_choice(active))
 
 
@@ -352,11 +360,8 @@ def dictionary_lake_normalised(spark, d):
  SELECT year, source_file, varnumber, varname, coalesce((SELECT arg_min(x, o) FROM g WHERE g.tk = r.tk AND g.varnumber = r.varnumber AND g.varnumber <> ''), (SELECT arg_min(x, o) FROM g WHERE g.tk = r.tk AND g.varname = r.varname AND g.varname <> ''),
   (SELECT arg_min(x, o) FROM g WHERE g.varnumber = r.varnumber AND g.varnumber <> ''), (SELECT arg_min(x, o) FROM g WHERE g.varname = r.varname AND g.varname <> ''), '') AS described FROM r""")
 def description_cascade(spark, d):
-    from pyspark.sql import Window
-
     k = lake(spark, d).withColumn("table_key", T.text_key(F.col("access_table_name")))
     texts = k.withColumn("ordinal", F.struct("year", "source_file", "varnumber", "varname")).select("ordinal", "table_key", "varnumber", "varname", F.col("longDescription").alias("description"))
-    del Window
     return dictionary.describe(k.select("year", "source_file", "varnumber", "varname", "table_key"), texts).select("year", "source_file", "varnumber", "varname", "described")
 
 
@@ -824,5 +829,3 @@ def saved_release_inventory(spark, d):
 def saved_recent_build_runs(spark, d):
     return catalog(spark, d).run("recent_build_runs")
 
-
-__all__ = ["QUERIES", "ORACLES", "P", "reduce"]

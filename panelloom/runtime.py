@@ -60,9 +60,16 @@ def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROA
     return F.broadcast(df) if fits_broadcast(df, max_rows, max_bytes) else df
 
 
-def free_name(taken: list[str], wanted: str) -> str:
-    """``wanted``, with underscores appended until no column of that name (in any case) is taken."""
-    have = {c.lower() for c in taken}
-    while wanted.lower() in have:
-        wanted += "_"
-    return wanted
+def pick(df: DataFrame, *columns: str) -> DataFrame:
+    """Just these columns, found by exact name first and else in any case; KeyError for one that isn't there.
+
+    Other columns may have any names, also ones that differ from a wanted name only in case.
+    """
+    at: dict[int, str] = {}
+    for c in columns:
+        exact = [i for i, n in enumerate(df.columns) if n == c]
+        loose = exact or [i for i, n in enumerate(df.columns) if n.lower() == c.lower()]
+        if not loose:
+            raise KeyError(f"no column {c}")
+        at[loose[0]] = c
+    return df.toDF(*[at.get(i, f"_other{i}") for i in range(len(df.columns))]).select(*columns)

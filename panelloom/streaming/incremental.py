@@ -62,8 +62,8 @@ def maintain_profile(rows: DataFrame, load: Column, columns: list[str], state: s
     return _drain(rows, checkpoint, act)
 
 
-def maintain_orphans(references: DataFrame, index: Callable[[], DataFrame], state: str, checkpoint: str) -> StreamingQuery:
-    """Count new references per key in ``state``; ``index`` gives the parent index as it is now.
+def maintain_orphans(references: DataFrame, state: str, checkpoint: str) -> StreamingQuery:
+    """Count new references per key in ``state``.
 
     Pending orphans are the counts without a parent, so a parent that arrives between batches resolves what waits and one
     that goes reopens it: see :func:`open_references`.
