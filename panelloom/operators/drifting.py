@@ -166,19 +166,21 @@ def edit_script(a: Node, b: Node) -> list[tuple[str, Node | None, Node | None]]:
 def file_schemas(panel: DataFrame, dictionary: DataFrame) -> DataFrame:
     """(source_file, year, varname, varnumber, is_numeric): the fields of each file, from the panel rows that resolve.
 
-    One grouped pass with map-side combining; the result has one row per field of a file, whatever the number of rows.
+    Rows are counted by their raw spellings first, map-side, so that keys are normalised once per spelling and not once per
+    row; the result has one row per field of a file, whatever the number of rows.
     Files are metadata: the size of the result follows the number of files and fields.
     """
-    index = bounded(parent_delta(dictionary).select(*PARENT_KEY))
+    raw = ["source_file", "varnumber", "year", "varname", "DataType"]
+    spellings = pick(panel, *raw).groupBy(*raw).agg(F.count(F.lit(1)).alias("n"))
     numeric = T.declared_numeric(F.col("DataType"))
-    rows = pick(panel, "source_file", "varnumber", "year", "varname", "DataType").select(
-        T.source_file(F.col("source_file")).alias("source_file"), T.varnumber(F.col("varnumber")).alias("varnumber"),
-        F.col("year").cast("int").alias("year"), T.varname(F.col("varname")).alias("varname"), numeric.alias("num"),
+    rows = spellings.select(
+        T.source_file(F.col("source_file")).alias("source_file"), T.varnumber(F.col("varnumber")).alias("varnumber"), F.col("year").cast("int").alias("year"),
+        T.varname(F.col("varname")).alias("varname"), F.when(numeric, F.col("n")).otherwise(0).alias("num"), F.when(~numeric, F.col("n")).otherwise(0).alias("txt"),
     )
+    index = bounded(parent_delta(dictionary).select(*PARENT_KEY))
     fields = (
         rows.where("varname <> ''").groupBy("source_file", "year", "varname", "varnumber")
-        .agg(F.count_if(F.col("num")).alias("n_num"), F.count_if(~F.col("num")).alias("n_text"))
-        .join(index, PARENT_KEY, "left_semi")
+        .agg(F.sum("num").alias("n_num"), F.sum("txt").alias("n_text")).join(index, PARENT_KEY)
     )
     of_name = Window.partitionBy("source_file", "year", "varname")
     n, m = F.sum("n_num").over(of_name), F.sum("n_text").over(of_name)
