@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
-from panelloom.runtime import materialise
+from panelloom.runtime import materialise, pick
 
 # Lexicons, without accents, in English, Spanish, French and German.
 LEXICON = {
@@ -330,7 +330,7 @@ MIN_EACH = 12
 def judged(labels: DataFrame) -> DataFrame:
     """(doc_id, y): the mean of the judgements of a document; ties and null judgements are left out."""
     return (
-        labels.where("offensive is not null and doc_id is not null").groupBy("doc_id").agg(F.avg(F.col("offensive").cast("double")).alias("m"))
+        pick(labels, "doc_id", "offensive").where("offensive is not null and doc_id is not null").groupBy("doc_id").agg(F.avg(F.col("offensive").cast("double")).alias("m"))
         .where("m <> 0.5").select("doc_id", (F.col("m") > 0.5).cast("int").alias("y"))
     )
 
@@ -392,6 +392,7 @@ def scores(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> D
     A document without a judgement is scored by the same model; judgements of unknown documents are ignored. With too few
     judgements of either kind the score rests on the lexicons alone.
     """
+    documents = pick(documents, "doc_id", "text", "source")
     model = fit(documents, labels)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

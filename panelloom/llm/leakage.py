@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelloom.runtime import materialise
+from panelloom.runtime import materialise, pick
 
 _TAG = re.compile(r"<[^<>]{0,300}>")
 _BREAK = re.compile(r"(?<=\w)[-‐]\s*\n\s*(?=[a-zß-ÿ])")
@@ -336,6 +336,7 @@ def leaks(documents: DataFrame, items: DataFrame, s: Settings = Settings()) -> D
     row for each. Copies of a document are reported each. Items are read in blocks of ``block`` by id, each block one
     search over all documents; nothing of the documents is gathered on the driver.
     """
+    documents, items = pick(documents, "doc_id", "text"), pick(items, "item_id", "text", "answer")
     count = items.count()
     n_docs = documents.count()
     kept = items.where("text is not null and item_id is not null").select("item_id", "text", F.coalesce("answer", F.lit("")).alias("answer"))

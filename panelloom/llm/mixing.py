@@ -11,7 +11,7 @@ from pyspark.sql.functions import pandas_udf
 
 from panelloom.functions import text as T
 from panelloom.operators.ranking import running_totals
-from panelloom.runtime import bounded, materialise
+from panelloom.runtime import bounded, materialise, pick
 
 #: A byte-level BPE of a public tokenizer (base64 token and rank per line), which lies outside of the repository.
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -44,7 +44,7 @@ def sized(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, seed:
     Written once to the shared folder: tokens are counted once.
     """
     wanted = bounded(clean_targets(targets).select("source"))
-    docs = documents.select("doc_id", T.source_key(F.col("source")).alias("source"), "text").join(wanted, "source", "left_semi")
+    docs = pick(documents, "doc_id", "source", "text").select("doc_id", T.source_key(F.col("source")).alias("source"), "text").join(wanted, "source", "left_semi")
     key = F.xxhash64(F.lit(seed), F.col("doc_id").cast("string"))
     rows = docs.select("doc_id", "source", key.alias("order_key"), token_count(path)(F.col("text")).alias("n_tokens"))
     return materialise(rows, "sized").where("n_tokens > 0")
@@ -52,7 +52,7 @@ def sized(documents: DataFrame, targets: DataFrame, path: str = TOKENIZER, seed:
 
 def clean_targets(targets: DataFrame) -> DataFrame:
     """Targets by normalised source; repeated sources add up, and the largest repeat cap holds. Shares of 0 or less are left out."""
-    rows = targets.select(T.source_key(F.col("source")).alias("source"), F.col("target_share").cast("double").alias("target_share"), F.col("max_repeats").cast("bigint").alias("max_repeats"))
+    rows = pick(targets, "source", "target_share", "max_repeats").select(T.source_key(F.col("source")).alias("source"), F.col("target_share").cast("double").alias("target_share"), F.col("max_repeats").cast("bigint").alias("max_repeats"))
     return rows.where("source is not null and target_share > 0").groupBy("source").agg(
         F.sum("target_share").alias("target_share"), F.greatest(F.max("max_repeats"), F.lit(0)).alias("max_repeats")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
-from panelloom.runtime import materialise
+from panelloom.runtime import materialise, pick
 
 FIELDS = ("value", "varTitle", "longDescription", "imputation_value")
 KEY = ["UNITID", "year", "varnumber", "source_file"]
@@ -23,7 +23,7 @@ def keyed(panel: DataFrame, fields: tuple[str, ...] = FIELDS) -> DataFrame:
 
     Rows without UNITID or varnumber are in no group. A null year or a blank source is a key like any other.
     """
-    rows = panel.select(
+    rows = pick(panel, "row_id", "UNITID", "year", "varnumber", "source_file", "loaded_at", *fields).select(
         "row_id", F.col("UNITID").cast("bigint").alias("UNITID"), F.col("year").cast("int").alias("year"),
         T.varnumber(F.col("varnumber")).alias("varnumber"), T.source_file(F.col("source_file")).alias("source_file"),
         *[T.null_if_token(F.col(f)).alias(f) for f in fields], T.recency(F.col("loaded_at"), F.col("row_id")).alias("_at"), "loaded_at",
