@@ -128,7 +128,10 @@ def _passages(ids: np.ndarray, weights: np.ndarray, width: int, size: int) -> np
 
 
 def _times(docs: DataFrame, q: np.ndarray, weights: np.ndarray, width: int) -> np.ndarray:
-    """A'(A q) over the passages of all documents: one small matrix per partition, summed by row in a grouped pass."""
+    """A'(A q) over the passages of all documents: one small matrix per task, summed by row in a grouped pass.
+
+    Tasks are no more than a few per core, so the number of matrices follows the cluster and not the data.
+    """
     size = len(weights)
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -144,13 +147,14 @@ def _times(docs: DataFrame, q: np.ndarray, weights: np.ndarray, width: int) -> n
         if total.any():
             yield pd.DataFrame({"w": np.arange(size), "row": list(total)})
 
-    summed = docs.mapInPandas(part, "w int, row array<double>")
-    merged = summed.select("w", F.posexplode("row").alias("j", "x")).groupBy("w", "j").agg(F.sum("x").alias("x"))
-    # vocabulary x rank numbers, both bounded by Settings.
-    got = merged.groupBy("w").agg(F.array_sort(F.collect_list(F.struct("j", "x"))).alias("row")).select("w", "row.x").collect()
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"w": [key[0]], "row": [np.sum(np.stack(rows.row.to_numpy()), axis=0)]})
+
+    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
+    summed = docs.coalesce(tasks).mapInPandas(part, "w int, row array<double>").groupBy("w").applyInPandas(add, "w int, row array<double>")
     out = np.zeros(q.shape)
-    for r in got:
-        out[r["w"]] = r["x"]
+    for r in summed.collect():  # vocabulary x rank numbers, both bounded by Settings
+        out[r["w"]] = r["row"]
     return out
 
 
