@@ -1,24 +1,27 @@
 """References to records that do not exist.
 
-State of the operator (two keyed tables):
+State of the operator (three keyed tables, see :class:`State`):
 
-* the parent index: (source_file, varnumber, year, n), n the signed number of live parent records;
-* the reference counts: (table_name, source_file, varnumber, year, n), n the signed number of references to a key.
+* the parent index: (source_file, varnumber, year, n), n the number of live parent records;
+* the reference counts: (table_name, source_file, varnumber, year, n), n the number of references to a key;
+* the pending keys: those of the counts that find no parent, and whether the parent never was, is gone or comes later.
 
-New references, arriving parents and deletions are signed deltas to these tables. ``pending`` keeps the keys whose
-references find no parent; an arriving parent takes its key out, a deletion puts it back. Only keys touched by a delta
-are looked at again.
+New references, arriving parents and deletions are signed deltas. An arriving parent takes a key out, a deletion puts it
+back. Only keys touched by a delta are looked at again.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
-from panelloom.runtime import bounded, pick
+from panelloom.runtime import bounded, materialise, pick
 
 PARENT_KEY = ["source_file", "varnumber", "year"]
+KEY = ["table_name", *PARENT_KEY]
 
 
 def parent_delta(dictionary: DataFrame, sign: int = 1) -> DataFrame:
@@ -54,11 +57,11 @@ def orphan_kind(year: Column, years: Column) -> Column:
     return F.when(known & (F.array_min(years) > year), F.lit("late")).when(known & (F.array_max(years) < year), F.lit("deleted")).otherwise(F.lit("missing"))
 
 
-def panel_references(panel: DataFrame) -> DataFrame:
-    """References of panel rows that have a varnumber: (table_name, record_id, source_file, varnumber, year)."""
-    return pick(panel, "row_id", "source_file", "varnumber", "year").select(
+def panel_references(panel: DataFrame, *others: str) -> DataFrame:
+    """References of panel rows that have a varnumber: (table_name, record_id, source_file, varnumber, year) and ``others``."""
+    return pick(panel, "row_id", "source_file", "varnumber", "year", *others).select(
         F.lit("panel_long").alias("table_name"), F.col("row_id").alias("record_id"), T.source_file(F.col("source_file")).alias("source_file"),
-        T.varnumber(F.col("varnumber")).alias("varnumber"), F.coalesce(F.col("year").cast("int"), F.lit(0)).alias("year"),
+        T.varnumber(F.col("varnumber")).alias("varnumber"), F.coalesce(F.col("year").cast("int"), F.lit(0)).alias("year"), *others,
     ).where("varnumber is not null")
 
 
@@ -72,42 +75,67 @@ def override_references(overrides: DataFrame) -> DataFrame:
     ).where("varnumber is not null")
 
 
-def probe(references: DataFrame, index: DataFrame, wildcards: bool = True) -> DataFrame:
-    """References with no live parent, with their ``kind``.
+def lookup(keys: DataFrame, index: DataFrame) -> DataFrame:
+    """``keys`` (with source_file, varnumber, year) that have no live parent, with their ``kind``.
 
-    With ``wildcards`` an empty source matches any source and year 0 any year. The index is joined by broadcast when it is
-    proven small; beyond that the join is shuffled and hot keys are left to AQE's skew splits (the reference side may be
-    split, as each key has one index row).
+    An empty source matches any source and year 0 any year. The index is joined by broadcast when it is proven small; beyond
+    that the join is shuffled.
     """
-    years = bounded(years_by_key(index))
-    found = references.join(years, ["source_file", "varnumber"], "left")
-    if wildcards:
-        found = found.join(bounded(years_anywhere(index)), "varnumber", "left")
-        found = found.withColumn("years", F.when(F.col("source_file") == "", F.col("any_years")).otherwise(F.col("years")))
-    met = F.coalesce(F.array_contains("years", F.col("year")), F.lit(False))
-    if wildcards:
-        met = met | ((F.col("year") == 0) & F.col("years").isNotNull())
-    return found.where(~met).select("table_name", "year", "record_id", orphan_kind(F.col("year"), F.col("years")).alias("kind"), "source_file", "varnumber")
+    found = keys.join(bounded(years_by_key(index)), ["source_file", "varnumber"], "left").join(bounded(years_anywhere(index)), "varnumber", "left")
+    found = found.withColumn("years", F.when(F.col("source_file") == "", F.col("any_years")).otherwise(F.col("years")))
+    met = F.coalesce(F.array_contains("years", F.col("year")), F.lit(False)) | ((F.col("year") == 0) & F.col("years").isNotNull())
+    return found.where(~met).withColumn("kind", orphan_kind(F.col("year"), F.col("years"))).select(*keys.columns, "kind")
 
 
-def reference_counts(references: DataFrame, sign: int = 1) -> DataFrame:
-    """References as signed counts per key, combined before the shuffle."""
-    return references.groupBy("table_name", *PARENT_KEY).agg((F.count(F.lit(1)) * sign).alias("n"))
+@dataclass(frozen=True)
+class State:
+    """Live parents, live references per key, and the keys whose references wait for a parent."""
+
+    index: DataFrame
+    counts: DataFrame
+    pending: DataFrame
+
 
+def start(spark: SparkSession) -> State:
+    """The state before any parent or reference."""
+    empty = lambda schema: spark.createDataFrame([], schema)
+    key = "table_name string, source_file string, varnumber string, year int, n long"
+    return State(empty("source_file string, varnumber string, year int, n long"), empty(key), empty(key + ", kind string"))
 
-def advance(pending: DataFrame, counts: DataFrame, index: DataFrame, new_counts: DataFrame, parents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One step of the keyed state: (pending, counts, index) after new references and signed parent changes.
 
-    Keys that neither side touches keep their pending entry. Keys touched by new references or parent changes are probed
-    again against the new index: a parent that arrived resolves them, a deletion reopens them.
+def advance(state: State, references: DataFrame, parents: DataFrame) -> State:
+    """The state after signed reference counts and signed parent changes.
+
+    New references probe the index. A parent that arrives resolves what waits for it and one that goes reopens its
+    references; either may also change the kind of what stays open, so all keys of its varnumber are looked at again. Keys
+    that nothing touches keep their entry as it is.
     """
-    key = ["table_name", *PARENT_KEY]
-    index = apply_parents(index, parents)
-    counts = counts.unionByName(new_counts).groupBy(*key).agg(F.sum("n").alias("n")).where("n > 0")
-    touched = new_counts.select(*PARENT_KEY).unionByName(parents.select(*PARENT_KEY)).distinct()
-    quiet = pending.join(touched, PARENT_KEY, "left_anti")
-    again = counts.join(touched, PARENT_KEY, "left_semi").join(index.select(*PARENT_KEY), PARENT_KEY, "left_anti")
-    return quiet.unionByName(again.select(*pending.columns)), counts, index
+    index = apply_parents(state.index, parents)
+    counts = state.counts.unionByName(references).groupBy(*KEY).agg(F.sum("n").alias("n")).where("n > 0")
+    moved = parents.select("varnumber").distinct()
+    fresh = references.select(*KEY).distinct()
+    quiet = state.pending.join(moved, "varnumber", "left_anti").join(fresh, KEY, "left_anti")
+    touched = counts.join(moved, "varnumber", "left_semi").unionByName(counts.join(moved, "varnumber", "left_anti").join(fresh, KEY, "left_semi"))
+    return State(index, counts, quiet.unionByName(lookup(touched, index).select(*state.pending.columns)))
+
+
+def persist(state: State) -> State:
+    """The state written to the shared folder, as between two batches."""
+    return State(materialise(state.index, "parents"), materialise(state.counts, "references"), materialise(state.pending, "pending"))
+
+
+def reference_counts(references: DataFrame, sign: int = 1) -> DataFrame:
+    """References as signed counts per key, combined before the shuffle."""
+    return references.groupBy(*KEY).agg((F.count(F.lit(1)) * sign).alias("n"))
+
+
+def panel_reference_counts(panel: DataFrame, sign: int = 1) -> DataFrame:
+    """Like :func:`reference_counts` of :func:`panel_references`; rows are counted by their raw spellings first, so that keys
+    are normalised once per spelling."""
+    raw = ["source_file", "varnumber", "year"]
+    spellings = pick(panel, *raw).groupBy(*raw).agg(F.count(F.lit(1)).alias("_n")).withColumn("row_id", F.lit(0).cast("bigint"))
+    keys = panel_references(spellings, "_n")
+    return keys.groupBy(*KEY).agg((F.sum("_n") * sign).alias("n"))
 
 
 def snapshot(pending: DataFrame) -> DataFrame:
@@ -115,13 +143,22 @@ def snapshot(pending: DataFrame) -> DataFrame:
     return pending.groupBy("table_name", "year").agg(F.sum("n").cast("bigint").alias("n_references"), F.count(F.lit(1)).alias("n_keys"))
 
 
+def waiting_records(references: DataFrame, pending: DataFrame) -> DataFrame:
+    """(table_name, year, record_id, kind) of the references whose key is pending.
+
+    Each key has one pending entry; they are broadcast when proven few, else the join is shuffled and a hot key's rows are
+    split by AQE.
+    """
+    return references.join(bounded(pending.select(*KEY, "kind")), KEY).select("table_name", "year", "record_id", "kind")
+
+
 def orphans(panel: DataFrame, dictionary: DataFrame, overrides: DataFrame) -> DataFrame:
     """(table_name, year, record_id, kind) of every reference that finds nothing.
 
-    Null and null-like varnumbers are no reference. A repeated row is reported under its own id. Without a dictionary
-    every reference is ``missing``.
+    The first step of the keyed state: all parents arrive, all references are new; the records of the keys that stay pending
+    come out. Null and null-like varnumbers are no reference. A repeated row is reported under its own id. Without a
+    dictionary every reference is ``missing``.
     """
-    index = parent_delta(dictionary)
-    rows = probe(panel_references(panel), index, wildcards=False)
-    wild = probe(override_references(overrides), index)
-    return rows.unionByName(wild).select("table_name", "year", "record_id", "kind")
+    counts = panel_reference_counts(panel).unionByName(reference_counts(override_references(overrides)))
+    pending = materialise(advance(start(panel.sparkSession), counts, parent_delta(dictionary)).pending, "pending")
+    return waiting_records(panel_references(panel).unionByName(override_references(overrides)), pending)

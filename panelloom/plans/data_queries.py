@@ -151,16 +151,14 @@ def p5_periods(spark, d):
 
 
 def p5_state(spark, d):
-    """Open references after the dictionary of years up to 2016 came first, all panel references next, and the rest of the
-    dictionary last: the keyed state ends where a single probe of everything ends."""
-    panel, lake = table(spark, d, "panel_long"), table(spark, d, "dictionary_lake")
-    none = orphans.reference_counts(orphans.panel_references(panel.limit(0)))
-    index = orphans.parent_delta(lake.where("year <= 2016"))
-    no_parents = index.where("false")
-    refs = orphans.reference_counts(orphans.panel_references(panel))
-    pending, counts, index = orphans.advance(none, none, index, refs, no_parents)
-    pending, counts, index = orphans.advance(pending, counts, index, none, orphans.parent_delta(lake.where("year > 2016")))
-    return orphans.snapshot(pending)
+    """Open references after three steps: the dictionary of years up to 2016, then all panel references, then the rest of the
+    dictionary. The keyed state ends where a single look at everything ends."""
+    lake = table(spark, d, "dictionary_lake")
+    none = orphans.start(spark)
+    first = orphans.advance(none, none.counts, orphans.parent_delta(lake.where("year <= 2016")))
+    second = orphans.persist(orphans.advance(first, orphans.panel_reference_counts(table(spark, d, "panel_long")), none.index))
+    last = orphans.advance(second, none.counts, orphans.parent_delta(lake.where("year > 2016")))
+    return orphans.snapshot(last.pending)
 
 
 _P5 = f"""

@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions import labels as L
+from panelloom.functions import rules
 from panelloom.functions import sql as S
 from panelloom.functions import text as T
-from panelloom.operators import clean, compare, dictionary, gates, longform, profile, structure, wide
+from panelloom.operators import clean, compare, dictionary, gates, longform, monitor, profile, structure, wide
 from panelloom.plans.catalog import Catalog
 from panelloom.plans.data_queries import table
 
@@ -787,6 +788,39 @@ def column_stats(spark, d):
     return profile.column_stats(table(spark, d, "panel_long").select("row_id", *longform.PANEL_COLUMNS, "loaded_at"))
 
 
+_WORDS = "upper(concat_ws(' ', varname, coalesce(title, ''), coalesce(description, '')))"
+
+
+@query(f"""WITH {_LAKE}, t AS (SELECT varname, {_best('"varTitle"')} AS title, {_best('"longDescription"')} AS description FROM lake GROUP BY varname), s AS (SELECT varname, source_file, count(*) AS n FROM lake WHERE source_file <> '' GROUP BY ALL),
+ p AS (SELECT varname, list(source_file ORDER BY -n, source_file)[1] AS src FROM s GROUP BY varname), g AS (SELECT varname, {rules.component_sql("coalesce(src, '')", _WORDS)} AS component, {_WORDS} AS w FROM t LEFT JOIN p USING (varname))
+ SELECT varname, component, {rules.family_sql("component", "w")} AS family FROM g""")
+def variable_components(spark, d):
+    v = dictionary.summaries(lake(spark, d))
+    words = F.concat_ws(" ", "varname", F.coalesce("title", F.lit("")), F.coalesce("description", F.lit("")))
+    v = v.select("varname", words.alias("w"), rules.component(F.col("primary_source"), words).alias("component"))
+    return v.select("varname", "component", rules.family(F.col("component"), F.col("w")).alias("family"))
+
+
+@query(f"""{_UNITS}, {_LAKE} SELECT 'long_panel' AS section, unnest(['rows', 'units', 'years', 'variables', 'sources']) AS metric, unnest([count(*), count(DISTINCT UNITID), count(DISTINCT year), count(DISTINCT varname), count(DISTINCT source_file)]) AS value FROM panel_long
+ UNION ALL SELECT s, unnest(['rows', 'units', 'years', 'columns']), unnest([count(*), count(DISTINCT UNITID), count(DISTINCT year), 9]) FROM panel CROSS JOIN (SELECT unnest(['wide_panel', 'clean_panel']) AS s) GROUP BY s
+ UNION ALL SELECT 'dictionary', unnest(['rows', 'variables', 'sources']), unnest([count(*), count(DISTINCT varname), count(DISTINCT source_file)]) FROM lake
+ UNION ALL SELECT 'structure', unnest(['units', 'always_present', 'selection_risk', 'several_identifiers']), unnest([count(*), count(*) FILTER (pattern = 'always_present'), count(*) FILTER (possible_selection_risk), count(*) FILTER (possible_identifier_linkage_case)]) FROM pat""")
+def release_metrics(spark, d):
+    raw = release_panel(spark, d)
+    return monitor.release_metrics(table(spark, d, "panel_long"), raw, clean.blank_children(raw, targets()), lake(spark, d), structure.unit_patterns(raw))
+
+
+@query()
+def parity_summary(spark, d):
+    checks = monitor.parity(release_panel(spark, d), release_panel(spark, d, "release_current", "current"), ["UNITID", "year"])
+    return spark.createDataFrame([(c.name, c.status, c.detail) for c in checks], "name string, status string, detail string")
+
+
+@query()
+def variable_payload(spark, d):
+    return monitor.payload(variable_profile(spark, d))
+
+
 # --- saved queries
 
 

@@ -31,8 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/panelloom-scratch/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, below one folder for the application."""
+    return f"{shared_dir(spark)}/panelloom-scratch/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete this application's scratch tables; call it when no result that rests on them is needed any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/panelloom-scratch/{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -180,24 +180,24 @@ def test_orphans(spark):
 
 def test_pending_state_follows_arrivals_and_deletions(spark):
     rng = random.Random(11)
-    key = "table_name string, source_file string, varnumber string, year int, n long"
-    none, no_parents = spark.createDataFrame([], key), spark.createDataFrame([], "source_file string, varnumber string, year int, n long")
-    pending, counts, index = none, none, no_parents
+    state = orphans.start(spark)
     live: dict = {}
     refs: dict = {}
-    for _ in range(3):
-        new = [("t", "S", str(rng.randint(1, 4)), 2010, 1) for _ in range(3)]
-        new = {r[2]: new.count(r) for r in new}
+    for step in range(4):
+        new = {("S" if rng.random() < 0.7 else "", v): rng.randint(1, 3) for v in rng.sample("1234", 2)}
         move = {v: rng.choice([1, 1, -live.get(v, 0)]) for v in rng.sample("1234", 2)}
         move = {v: n for v, n in move.items() if n}
-        for v, n in new.items():
-            refs[v] = refs.get(v, 0) + n
+        for k, n in new.items():
+            refs[k] = refs.get(k, 0) + n
         for v, n in move.items():
             live[v] = live.get(v, 0) + n
-        batch = spark.createDataFrame([("t", "S", v, 2010, n) for v, n in new.items()], key)
-        parents = spark.createDataFrame([("S", v, 2010, n) for v, n in move.items()], no_parents.schema)
-        pending, counts, index = orphans.advance(pending, counts, index, batch, parents)
-        assert {r.varnumber: r.n for r in pending.collect()} == {v: n for v, n in refs.items() if live.get(v, 0) <= 0}
+        batch = spark.createDataFrame([("t", s, v, 2010, n) for (s, v), n in new.items()], state.counts.schema)
+        parents = spark.createDataFrame([("S", v, 2010 if v != "4" else 2012, n) for v, n in move.items()], state.index.schema)
+        state = orphans.persist(orphans.advance(state, batch, parents))
+        met = lambda v: live.get(v, 0) > 0 and v != "4"  # noqa: E731, B023
+        kind = lambda v: "late" if v == "4" and live.get(v, 0) > 0 else "missing"  # noqa: E731, B023
+        assert {(r.source_file, r.varnumber): (r.n, r.kind) for r in state.pending.collect()} == {k: (n, kind(k[1])) for k, n in refs.items() if not met(k[1])}
+        assert sum(r.n_references for r in orphans.snapshot(state.pending).collect()) == sum(n for k, n in refs.items() if not met(k[1]))
 
 
 # --- p6

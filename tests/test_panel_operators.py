@@ -6,7 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from panelloom.functions.policy import policy_of
-from panelloom.operators import clean, compare, dictionary, gates, longform, structure, wide
+from panelloom.operators import clean, compare, dictionary, gates, longform, monitor, structure, wide
 from panelloom.operators.longform import GateError
 from panelloom.plans.catalog import SAVED, Catalog
 from panelloom.plans.options import WideOptions, parse_years
@@ -216,3 +216,24 @@ def test_stages():
     stages = [("a", lambda: seen.append("a")), ("b", lambda: seen.append("b"))]
     assert run(stages, skip=("a",)) == ["b"] and seen == ["b"]
     assert run(stages, dry_run=True) == ["a", "b"] and seen == ["b"]
+
+
+def test_seeds_and_severities(spark):
+    plan = monitor.plan_seeds([{"column_name": " old ", "dtype": "double"}, {"column_name": "OLD"}, {"column_name": "A"}, {"column_name": ""}], {"A"})
+    assert [(p["column_name"], p["seeded"]) for p in plan] == [("OLD", True), ("A", False)]
+    assert monitor.add_seeds(spark.createDataFrame([(1,)], "A int"), plan).dtypes == [("A", "int"), ("OLD", "double")]
+    issues = spark.createDataFrame([("review",)], "severity string")
+    monitor.fail_on(issues)
+    with pytest.raises(GateError):
+        monitor.fail_on(issues, "review")
+
+
+def test_parity(spark):
+    a = spark.createDataFrame([(2010, 1, "x"), (2010, 2, None)], "year int, UNITID long, v string")
+    assert all(c.passed for c in monitor.parity(a, a, ["UNITID", "year"]))
+    assert [c.passed for c in monitor.parity(a, a.withColumn("v", F.lit("y")), ["UNITID", "year"])] == [True, True, True, False]
+
+
+def test_telemetry(spark):
+    runs = spark.sql("SELECT 1L AS run_id, 'wide' AS stage, TIMESTAMP '2020-01-01 00:00:00' AS started_at, '' AS years_spec, 5L AS n_rows, '{\"lane_split\": true}' AS config_json UNION ALL SELECT 2L, 'wide', TIMESTAMP '2020-01-01 00:01:00', '', 6L, '{}'")
+    assert [(r.run_id, r.seconds_since, r.lane_split) for r in monitor.telemetry(runs).collect()] == [(2, 60.0, None), (1, None, "true")]
