@@ -82,12 +82,20 @@ class Items:
     vocabulary: dict[str, int] = field(default_factory=dict)
 
     @classmethod
-    def of(cls, rows: list) -> Items:
-        vocabulary: dict[str, int] = {}
-        texts = []
+    def of(cls, rows: list, longest: int = 400) -> Items:
+        """Texts of more than ``longest`` words are laid out as overlapping parts under the same id.
+
+        Every part of a stretch of up to 60 words lies whole in some part, and a longer stretch has such a part that agrees at
+        least as well, so nothing is lost.
+        """
+        out = cls([], [], [], {})
         for r in rows:
-            texts.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words(r["text"])], dtype=np.int32))
-        return cls([r["item_id"] for r in rows], [words(r["answer"]) for r in rows], texts, vocabulary)
+            ids = np.array([out.vocabulary.setdefault(w, len(out.vocabulary)) for w in words(r["text"])], dtype=np.int32)
+            for k in range(0, max(1, len(ids) - 60), longest - 60):
+                out.ids.append(r["item_id"])
+                out.answers.append(words(r["answer"]))
+                out.texts.append(ids[k : k + longest])
+        return out
 
 
 def numbered(documents: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
@@ -293,13 +301,14 @@ def search(docs: DataFrame, items: Items, weights: np.ndarray, outside: float, v
                 bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts[k:upto]])])
                 for p, found in candidates(np.concatenate(texts[k:upto]), bounds).items():
                     doc = np.asarray(texts[k + p])
+                    best: dict[int, tuple] = {}
                     for i in sorted(found):
                         # Only runs of the document that hold words of this item can align with it.
                         for piece in _pieces(doc, items.texts[i], need):
                             length, share = aligned(items.texts[i], piece, s)
-                            if length:
-                                out.append((ids[k + p], items.ids[i], length, share, _contains(piece, answers[i])))
-                                break
+                            if length > best.get(items.ids[i], (0,))[0]:
+                                best[items.ids[i]] = (length, share, _contains(piece, answers[i]))
+                    out += [(ids[k + p], item, *b) for item, b in best.items()]
                 k = upto
             yield pd.DataFrame(out, columns=["doc_id", "item_id", "stretch", "share", "answer_found"])
 
@@ -311,7 +320,8 @@ def search(docs: DataFrame, items: Items, weights: np.ndarray, outside: float, v
 def _pieces(doc: np.ndarray, item: np.ndarray, need: int) -> list[np.ndarray]:
     """Runs of the document around places where the words of the item are dense enough for a stretch to lie there.
 
-    A stretch has ``need`` words of the item within few more positions, so places with fewer can't be part of one.
+    A stretch has ``need`` words of the item within few more positions, so places with fewer can't be part of one. Pieces
+    are bounded by the item's length, however long the document is.
     """
     mine = np.isin(doc, item).astype(np.int64)
     reach = 2 * need
@@ -323,7 +333,10 @@ def _pieces(doc: np.ndarray, item: np.ndarray, need: int) -> list[np.ndarray]:
         while k < len(dense) and dense[k] <= b + reach:
             b = dense[k]
             k += 1
-        out.append(doc[max(0, a - 5) : b + reach + 5])
+        first, last = max(0, a - 5), b + reach + 5
+        # A long run is cut into overlapping pieces, each wide enough for any stretch of the item.
+        width = 2 * len(item) + 60
+        out += [doc[k : min(k + 2 * width, last)] for k in range(first, max(first + 1, min(last, len(doc)) - width), width)]
     return out
 
 

@@ -113,6 +113,19 @@ def test_leaks_equal_the_planted_pairs(spark):
     assert leakage.leaks(d.limit(0), i).count() == 0 and leakage.leaks(d, i.limit(0)).count() == 0
 
 
+def test_very_long_items_and_documents(spark):
+    rng = random.Random(8)
+    words = [f"w{rng.randrange(3000)}" for _ in range(3000)]
+    long_doc = [f"w{rng.randrange(3000)}" for _ in range(60_000)]
+    at = 45_000
+    piece = words[1990:2010]
+    piece[3] = piece[9] = piece[15] = "zz"
+    docs = [(1, " ".join(long_doc)), (2, " ".join(long_doc[:at] + piece + long_doc[at:])), (3, " ".join(words[100:1500])), (4, " ".join(words[600:608]))]
+    found = leakage.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(7, " ".join(words), None)], "item_id long, text string, answer string"))
+    got = {r.doc_id: r for r in found.collect()}
+    assert set(got) == {2, 3} and got[2].stretch >= 15 and got[2].share >= 0.8
+
+
 def test_retrieval_recall_against_brute_force(spark):
     """All documents against all items by alignment alone: the latent search must lose none of the pairs it finds."""
     items, docs, _ = corpus(31)
