@@ -159,6 +159,7 @@ def orphans(panel: DataFrame, dictionary: DataFrame, overrides: DataFrame) -> Da
     come out. Null and null-like varnumbers are no reference. A repeated row is reported under its own id. Without a
     dictionary every reference is ``missing``.
     """
-    counts = panel_reference_counts(panel).unionByName(reference_counts(override_references(overrides)))
-    pending = materialise(advance(start(panel.sparkSession), counts, parent_delta(dictionary)).pending, "pending")
+    counts = materialise(panel_reference_counts(panel).unionByName(reference_counts(override_references(overrides))), "references")
+    parents = materialise(parent_delta(dictionary), "parents")
+    pending = materialise(advance(start(panel.sparkSession), counts, parents).pending, "pending")
     return waiting_records(panel_references(panel).unionByName(override_references(overrides)), pending)

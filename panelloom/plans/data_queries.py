@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from panelloom.functions import sql as S
 from panelloom.operators import copies, drifting, eav, orphans, quality_profile
+from panelloom.runtime import materialise
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -156,7 +157,8 @@ def p5_state(spark, d):
     lake = table(spark, d, "dictionary_lake")
     none = orphans.start(spark)
     first = orphans.advance(none, none.counts, orphans.parent_delta(lake.where("year <= 2016")))
-    second = orphans.persist(orphans.advance(first, orphans.panel_reference_counts(table(spark, d, "panel_long")), none.index))
+    references = materialise(orphans.panel_reference_counts(table(spark, d, "panel_long")), "references")
+    second = orphans.persist(orphans.advance(first, references, none.index))
     last = orphans.advance(second, none.counts, orphans.parent_delta(lake.where("year > 2016")))
     return orphans.snapshot(last.pending)
 
