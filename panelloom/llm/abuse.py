@@ -335,6 +335,16 @@ def judged(labels: DataFrame) -> DataFrame:
     )
 
 
+def choose(rows: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
+    """The ``most`` rows with the least hash of their doc_id: ids only, thinned by hash before they are sorted."""
+    order = F.xxhash64(F.lit(17), "doc_id")
+    n = rows.count()
+    if n > 2 * most:
+        rows = rows.where(F.pmod(order, F.lit(1_000_000)) < int(1_000_000 * min(1.0, 1.2 * most / n)) + 1)
+        order = F.pmod(order, F.lit(1_000_000))
+    return rows.orderBy(order, "doc_id").limit(most)
+
+
 def _gram_udf():
     def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -361,8 +371,8 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
     """The model of the labelled documents. Lexicons are learned on one half and used on the other, so that no document's
     features come from its own judgement; calibration likewise uses predictions for the other half."""
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")
-    labelled = documents.select("doc_id", "text").join(judged(labels), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
-    sample = materialise(labelled.select("doc_id", "y", half, "text"), "labelled")
+    chosen = F.broadcast(choose(judged(labels)))  # at most MAX_LABELLED ids
+    sample = materialise(documents.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "y", half, "text"), "labelled")
     words = materialise(sample.mapInPandas(_gram_udf(), "doc_id long, y int, half int, grams array<string>"), "grams")
     lexicons = [learn_lexicon(words, 0), learn_lexicon(words, 1)]
 

@@ -254,6 +254,13 @@ def test_held_out_accuracy(spark):
     assert sum(x.n_docs for x in r.values()) == 363 and set(r) == {"forum", None}
 
 
+def test_labelled_sample_is_bounded(spark):
+    rows = spark.range(5000).select(F.col("id").alias("doc_id"), F.lit(1).alias("y"))
+    few = {r.doc_id for r in abuse.choose(rows, 500).collect()}
+    assert len(few) == 500 and few == {r.doc_id for r in abuse.choose(rows.repartition(7), 500).collect()}
+    assert abuse.choose(rows, 10_000).count() == 5000
+
+
 def test_few_or_no_labels(spark):
     d = spark.createDataFrame([(1, OFFENSIVE[1], "s"), (2, HARMLESS[0], "s")], "doc_id long, text string, source string")
     none = spark.createDataFrame([], "doc_id long, rater int, offensive int")
