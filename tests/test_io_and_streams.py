@@ -49,6 +49,11 @@ def test_files_parquet_and_publish(spark, tmp_path):
     writers.publish(df, out, lambda d: check_stitched(d, [2010, 2011]), by_year=True)
     back = readers.read_panel(spark, out, years=[2011])
     assert back.columns[:2] == ["year", "UNITID"] and back.count() == 1
+    flat = str(tmp_path / "flat")
+    writers.write_parquet(df, flat)
+    plan = readers.read_panel(spark, flat, ["UNITID"], [2011])._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(year,2011)" in plan or "In(year, [2011])" in plan
+    assert "source_file" not in plan.split("ReadSchema")[1]
     with pytest.raises(GateError):
         writers.publish(df, str(tmp_path / "q"), lambda d: check_stitched(d, [2010]))
     assert not (tmp_path / "q").exists()
