@@ -22,6 +22,7 @@ from panelloom.runtime import bounded, materialise, pick
 
 PARENT_KEY = ["source_file", "varnumber", "year"]
 KEY = ["table_name", *PARENT_KEY]
+RAW = ["raw_source", "raw_number", "raw_year"]
 
 
 def parent_delta(dictionary: DataFrame, sign: int = 1) -> DataFrame:
@@ -129,13 +130,20 @@ def reference_counts(references: DataFrame, sign: int = 1) -> DataFrame:
     return references.groupBy(*KEY).agg((F.count(F.lit(1)) * sign).alias("n"))
 
 
-def panel_reference_counts(panel: DataFrame, sign: int = 1) -> DataFrame:
-    """Like :func:`reference_counts` of :func:`panel_references`; rows are counted by their raw spellings first, so that keys
-    are normalised once per spelling."""
+def panel_spellings(panel: DataFrame) -> DataFrame:
+    """The references of panel rows by raw spelling: (raw_source, raw_number, raw_year, the normalised key, n).
+
+    Rows are counted as they are spelt, map-side, so that keys are normalised once per spelling and not once per row.
+    """
     raw = ["source_file", "varnumber", "year"]
-    spellings = pick(panel, *raw).groupBy(*raw).agg(F.count(F.lit(1)).alias("_n")).withColumn("row_id", F.lit(0).cast("bigint"))
-    keys = panel_references(spellings, "_n")
-    return keys.groupBy(*KEY).agg((F.sum("_n") * sign).alias("n"))
+    counted = pick(panel, *raw).where("varnumber is not null").groupBy(*raw).agg(F.count(F.lit(1)).alias("n"))
+    kept = counted.select("*", F.lit(0).cast("bigint").alias("row_id"), *[F.col(c).alias(r) for c, r in zip(raw, RAW)])
+    return panel_references(kept, *RAW, "n").select("table_name", *PARENT_KEY, *RAW, "n")
+
+
+def panel_reference_counts(panel: DataFrame, sign: int = 1) -> DataFrame:
+    """Like :func:`reference_counts` of :func:`panel_references`, by way of the spellings."""
+    return panel_spellings(panel).groupBy(*KEY).agg((F.sum("n") * sign).alias("n"))
 
 
 def snapshot(pending: DataFrame) -> DataFrame:
@@ -143,13 +151,16 @@ def snapshot(pending: DataFrame) -> DataFrame:
     return pending.groupBy("table_name", "year").agg(F.sum("n").cast("bigint").alias("n_references"), F.count(F.lit(1)).alias("n_keys"))
 
 
-def waiting_records(references: DataFrame, pending: DataFrame) -> DataFrame:
-    """(table_name, year, record_id, kind) of the references whose key is pending.
+def waiting_rows(panel: DataFrame, spellings: DataFrame, pending: DataFrame) -> DataFrame:
+    """(table_name, year, record_id, kind) of the panel rows whose key is pending.
 
-    Each key has one pending entry; they are broadcast when proven few, else the join is shuffled and a hot key's rows are
-    split by AQE.
+    Pending keys become the spellings that stand for them, and rows are joined by spelling, null-safe: by broadcast when
+    these are proven few, else shuffled with a hot key's rows split by AQE, as each spelling has one entry.
     """
-    return references.join(bounded(pending.select(*KEY, "kind")), KEY).select("table_name", "year", "record_id", "kind")
+    open_ = spellings.join(pending.select(*KEY, "kind"), KEY).select("table_name", F.col("year").alias("at"), "kind", *RAW)
+    rows = pick(panel, "row_id", "source_file", "varnumber", "year").where("varnumber is not null")
+    same = (F.col("varnumber") == F.col(RAW[1])) & F.col("source_file").eqNullSafe(F.col(RAW[0])) & F.col("year").eqNullSafe(F.col(RAW[2]))
+    return rows.join(bounded(open_), same).select("table_name", F.col("at").alias("year"), F.col("row_id").alias("record_id"), "kind")
 
 
 def orphans(panel: DataFrame, dictionary: DataFrame, overrides: DataFrame) -> DataFrame:
@@ -159,7 +170,10 @@ def orphans(panel: DataFrame, dictionary: DataFrame, overrides: DataFrame) -> Da
     come out. Null and null-like varnumbers are no reference. A repeated row is reported under its own id. Without a
     dictionary every reference is ``missing``.
     """
-    counts = materialise(panel_reference_counts(panel).unionByName(reference_counts(override_references(overrides))), "references")
+    spellings = materialise(panel_spellings(panel), "spellings")
+    wild = materialise(override_references(overrides), "overrides")
+    counts = materialise(spellings.groupBy(*KEY).agg(F.sum("n").alias("n")).unionByName(reference_counts(wild)), "references")
     parents = materialise(parent_delta(dictionary), "parents")
     pending = materialise(advance(start(panel.sparkSession), counts, parents).pending, "pending")
-    return waiting_records(panel_references(panel).unionByName(override_references(overrides)), pending)
+    waiting = wild.join(pending.select(*KEY, "kind"), KEY).select("table_name", "year", "record_id", "kind")
+    return waiting_rows(panel, spellings, pending).unionByName(waiting)
