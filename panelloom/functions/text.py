@@ -90,16 +90,15 @@ def stem(c: Column) -> Column:
 def source_file(c: Column) -> Column:
     """The canonical name of a source table: extension and digits dropped, alias resolved; null and blank give ''.
 
-    Names that are already plain upper-case letters and single underscores skip the regular expressions.
+    Names that are already plain upper-case letters and single underscores, and no alias, skip the regular expressions.
     """
     norm = token(stem(F.coalesce(c, F.lit(""))))
     bare = F.btrim(F.regexp_replace(F.regexp_replace(norm, "[0-9]+", ""), "_+", "_"), F.lit("_"))
-    slow = F.when(norm.contains("GR200"), F.lit("GR200")).when(bare == "", norm).otherwise(bare)
-    plain = (F.translate(c, _LETTERS, "") == "") & ~c.contains("__") & ~c.startswith("_") & ~c.endswith("_") & (c != "")
-    name = F.when(plain, c).otherwise(slow)
-    compact = F.translate(name, "_", "")
+    compact = F.translate(bare, "_", "")
     aliases = F.create_map(*[F.lit(x) for kv in SOURCE_ALIASES.items() for x in kv])
-    return F.when((name != "GR200") & compact.isin(*SOURCE_ALIASES), aliases[compact]).otherwise(name)
+    slow = F.when(norm.contains("GR200"), F.lit("GR200")).when(bare == "", norm).when(compact.isin(*SOURCE_ALIASES), aliases[compact]).otherwise(bare)
+    plain = (F.translate(c, _LETTERS, "") == "") & ~c.contains("__") & ~c.startswith("_") & ~c.endswith("_") & (c != "")
+    return F.when(plain & ~F.translate(c, "_", "").isin(*SOURCE_ALIASES), c).otherwise(slow)
 
 
 def reads_as_number(c: Column) -> Column:
