@@ -92,13 +92,22 @@ def source_file(c: Column) -> Column:
 
     Names that are already plain upper-case letters and single underscores, and no alias, skip the regular expressions.
     """
-    norm = token(stem(F.coalesce(c, F.lit(""))))
-    bare = F.btrim(F.regexp_replace(F.regexp_replace(norm, "[0-9]+", ""), "_+", "_"), F.lit("_"))
-    compact = F.translate(bare, "_", "")
     aliases = F.create_map(*[F.lit(x) for kv in SOURCE_ALIASES.items() for x in kv])
-    slow = F.when(norm.contains("GR200"), F.lit("GR200")).when(bare == "", norm).when(compact.isin(*SOURCE_ALIASES), aliases[compact]).otherwise(bare)
+
+    def named(norm: Column) -> Column:
+        bare = F.btrim(F.regexp_replace(F.regexp_replace(norm, "[0-9]+", ""), "_+", "_"), F.lit("_"))
+        return F.when(norm.contains("GR200"), F.lit("GR200")).otherwise(
+            _let(bare, lambda b: F.when(b == "", norm).otherwise(F.coalesce(F.try_element_at(aliases, F.translate(b, "_", "")), b)))
+        )
+
     plain = (F.translate(c, _LETTERS, "") == "") & ~c.contains("__") & ~c.startswith("_") & ~c.endswith("_") & (c != "")
-    return F.when(plain & ~F.translate(c, "_", "").isin(*SOURCE_ALIASES), c).otherwise(slow)
+    return F.when(plain & ~F.translate(c, "_", "").isin(*SOURCE_ALIASES), c).otherwise(_let(token(stem(F.coalesce(c, F.lit("")))), named))
+
+
+def _let(c: Column, f) -> Column:
+    """``f(c)`` with ``c`` worked out once, however often ``f`` uses it, and outside of the generated code of the common path:
+    a method that grows too large is never compiled by the JVM."""
+    return F.transform(F.array(c), f)[0]
 
 
 def reads_as_number(c: Column) -> Column:
