@@ -111,8 +111,8 @@ def passages(text: str) -> list[str]:
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.replace("ß", "ss").replace("­", "").replace("​", ""))
-        text = "".join(c for c in text if not unicodedata.combining(c))
+        text = unicodedata.normalize("NFKD", text.replace("ß", "ss"))
+        text = "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Cf"))
     return [p for p in _SPLIT.split(text) if p and not p.isspace()]
 
 

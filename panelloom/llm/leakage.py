@@ -65,8 +65,8 @@ def words(text: str | None) -> list[str]:
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.replace("­", "").replace("​", ""))
-        text = "".join(c for c in text if not unicodedata.combining(c))
+        text = unicodedata.normalize("NFKD", text)
+        text = "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Cf"))
     if "-" in text or "‐" in text:
         text = _BREAK.sub("", text)
     return _WORD.findall(_INNER.sub("", text).lower())
