@@ -50,7 +50,7 @@ def strip(c: Column) -> Column:
 def null_if_token(c: Column, tokens: tuple[str, ...] = VALUE_NULL_TOKENS) -> Column:
     """The stripped text, or null if it is one of ``tokens`` in any case."""
     t = strip(c)
-    return F.when(~F.lower(t).isin(*tokens), t)
+    return F.when((F.octet_length(t) > max(map(len, tokens))) | ~F.lower(t).isin(*tokens), t)
 
 
 def is_empty(c: Column) -> Column:
