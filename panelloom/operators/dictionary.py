@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from panelloom.functions import labels as L
 from panelloom.functions import text as T
 from panelloom.operators.longform import GateError
+from panelloom.operators.structure import one_row
 from panelloom.runtime import BROADCAST_ROWS, bounded
 
 LAKE_KEY = ["year", "source_file", "varnumber", "varname"]
@@ -64,9 +65,8 @@ def nearest_donors(lake: DataFrame, years: list[int]) -> DataFrame:
     Per source and year the nearest year on either side is found by running maxima and minima over the union of both, so
     years and donors are never paired.
     """
-    spark = lake.sparkSession
     have = lake.where("source_file <> '' and not startswith(coalesce(metadata_source, ''), 'synthetic_')").select("source_file", F.col("year").cast("int").alias("year")).distinct()
-    wanted = have.select("source_file").distinct().join(F.broadcast(spark.createDataFrame([(y,) for y in years], "year int")))
+    wanted = have.select("source_file").distinct().select("source_file", F.explode(F.lit(list(years)).cast("array<int>")).alias("year"))
     rows = wanted.join(have.withColumn("_have", F.lit(True)), ["source_file", "year"], "full_outer")
     w = Window.partitionBy("source_file").orderBy("year")
     own = F.when(F.col("_have"), F.col("year"))
@@ -244,6 +244,4 @@ def audit_summary(lake: DataFrame) -> DataFrame:
         F.count_if(F.col("varnumber") == "").alias("n_without_number"), F.count_if(blank).alias("n_without_description"), F.count_if(F.coalesce("imputationvar", F.lit("")) != "").alias("n_with_imputation"),
     )
     parts = [("n_duplicate_keys", audit_duplicates(lake)), ("n_source_conflicts", audit_sources(lake)), ("n_collisions", audit_collisions(lake)), ("n_ambiguous", ambiguities(lake))]
-    for name, rows in parts:
-        base = base.join(F.broadcast(rows.agg(F.count(F.lit(1)).alias(name))))  # one row each
-    return base
+    return one_row([base, *[rows.agg(F.count(F.lit(1)).alias(name)) for name, rows in parts]])

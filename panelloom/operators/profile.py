@@ -20,18 +20,18 @@ def variable_profile(staged: DataFrame, lake: DataFrame) -> DataFrame:
 
     ``staged`` rows are counted per variable and year; the fill percentage is over all unit-years of the panel.
     """
-    window = staged.agg(F.count_distinct("year").alias("window"), F.count_distinct("year", "UNITID").alias("unit_years"))
+    window = staged.agg(F.count_distinct("year").alias("years"), F.count_distinct("year", "UNITID").alias("unit_years")).first()
     cells = staged.where("value_norm is not null").groupBy("varname").agg(
         F.count_distinct("year").alias("n_years"), F.min("year").alias("year_min"), F.max("year").alias("year_max"), F.count_distinct("year", "UNITID").alias("filled"),
         F.count(T.read_plain_double(F.col("value_norm"))).alias("n_numeric"), F.count(F.lit(1)).alias("n_values"),
     )
-    rows = cells.join(F.broadcast(window)).join(summaries(lake), "varname", "left")  # the window is one row
-    percent = F.round(F.col("filled") * 100 / F.col("unit_years"), 4)
+    rows = cells.join(summaries(lake), "varname", "left")
+    percent = F.round(F.col("filled") * 100 / F.lit(window.unit_years), 4)
     kind = F.when(F.col("n_numeric") == F.col("n_values"), "numeric").otherwise("string")
     return rows.select(
         "varname", F.coalesce("title", F.lit("")).alias("title"), F.coalesce("description", F.lit("")).alias("description"), F.coalesce("primary_source", F.lit("")).alias("primary_source"),
         F.coalesce("source_count", F.lit(0)).cast("bigint").alias("source_count"), "year_min", "year_max", "n_years", percent.alias("completeness"), L.completeness(percent).alias("completeness_bucket"),
-        L.coverage(F.col("n_years"), F.col("window")).alias("coverage_bucket"), kind.alias("panel_type"), L.variable_form(F.col("varname"), F.col("title")).alias("variable_form"),
+        L.coverage(F.col("n_years"), F.lit(window.years)).alias("coverage_bucket"), kind.alias("panel_type"), L.variable_form(F.col("varname"), F.col("title")).alias("variable_form"),
     )
 
 

@@ -24,20 +24,21 @@ def unit_patterns(panel: DataFrame, identifier: str = "OPEID", name: str = "INST
         F.col("UNITID").cast("bigint").alias("UNITID"), F.col("year").cast("int").alias("year"), T.null_if_token(F.col(identifier), ID_NULLS).alias("ident"),
         T.null_if_token(F.col(name), ID_NULLS).alias("name"),
     )
-    window = rows.agg(F.min("year").alias("start"), F.max("year").alias("end"))
+    window = rows.agg(F.min("year").alias("start"), F.max("year").alias("end")).first()
+    start, end = F.lit(window.start).cast("int"), F.lit(window.end).cast("int")
     years = rows.groupBy("UNITID").agg(
         F.array_sort(F.collect_set("year")).alias("years"), F.count_distinct("ident").alias("opeid_count"), F.max("ident").alias("_id")
     )
     names = rows.where("name is not null").groupBy("UNITID", "name").agg(F.count(F.lit(1)).alias("n"))
     best = names.groupBy("UNITID").agg(F.min(F.struct(-F.col("n"), F.col("name"))).alias("b")).select("UNITID", F.col("b.name").alias("instnm_example"))
-    out = years.join(F.broadcast(window)).join(best, "UNITID", "left")  # the window is one row
+    out = years.join(best, "UNITID", "left")
     first, last, n = F.col("years")[0], F.element_at("years", -1), F.size("years")
     gap = n < last - first + 1
     return out.select(
         "UNITID", F.array_join(F.col("years").cast("array<string>"), "|").alias("years_present_list"), first.alias("first_year"), last.alias("last_year"),
-        n.alias("observed_years"), (last - first + 1 - n).alias("missing_internal_years"), (first > F.col("start")).alias("entered_after_start"),
-        (last < F.col("end")).alias("exited_before_end"), gap.alias("intermittent_gap"), ((last < F.col("end")) | gap).alias("possible_selection_risk"),
-        L.presence_pattern(first, last, n, F.col("start"), F.col("end")).alias("pattern"), "opeid_count",
+        n.alias("observed_years"), (last - first + 1 - n).alias("missing_internal_years"), (first > start).alias("entered_after_start"),
+        (last < end).alias("exited_before_end"), gap.alias("intermittent_gap"), ((last < end) | gap).alias("possible_selection_risk"),
+        L.presence_pattern(first, last, n, start, end).alias("pattern"), "opeid_count",
         F.when(F.col("opeid_count") == 1, F.col("_id")).otherwise("").alias("stable_opeid"), (F.col("opeid_count") > 1).alias("possible_identifier_linkage_case"),
         F.coalesce("instnm_example", F.lit("")).alias("instnm_example"),
     )
@@ -55,8 +56,8 @@ def structure_summary(panel: DataFrame, patterns: DataFrame) -> DataFrame:
         F.count_if("intermittent_gap").alias("intermittent_gap_unitids"), F.count_if("possible_selection_risk").alias("possible_selection_risk_unitids"),
         F.count_if("possible_identifier_linkage_case").alias("possible_identifier_linkage_cases"),
     )
-    one = a.join(F.broadcast(b))  # both are one row
-    return one.select(F.explode(F.create_map(*[x for c in one.columns for x in (F.lit(c), F.col(c))])).alias("metric", "value"))
+    cells = lambda one: one.select(F.explode(F.create_map(*[x for c in one.columns for x in (F.lit(c), F.col(c))])).alias("metric", "value"))
+    return cells(a).unionByName(cells(b))
 
 
 def entry_exit(panel: DataFrame, patterns: DataFrame) -> DataFrame:
@@ -69,9 +70,8 @@ def entry_exit(panel: DataFrame, patterns: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("unitids_present"), F.count_if(F.col("first_year") == F.col("year")).alias("entrants"),
         F.count_if(F.col("last_year") == F.col("year")).alias("_last"), F.count_if("intermittent_gap").alias("intermittent_unitids_present"), F.count("next").alias("retained_to_next_year"),
     )
-    last = out.agg(F.max("year").alias("_end"))
-    final = F.col("year") == F.col("_end")
-    return out.join(F.broadcast(last)).select(
+    final = F.col("year") == F.lit(units.agg(F.max("year")).first()[0]).cast("int")
+    return out.select(
         "year", "unitids_present", "entrants", F.when(final, F.lit(0)).otherwise(F.col("_last")).cast("bigint").alias("exits_after_year"), "intermittent_unitids_present",
         F.when(~final, F.col("retained_to_next_year")).alias("retained_to_next_year"),
         F.when(~final, F.round(F.col("retained_to_next_year") / F.col("unitids_present"), 9)).alias("retention_rate"),
@@ -95,7 +95,7 @@ def linkage(panel: DataFrame, identifier: str = "OPEID") -> DataFrame:
     whole = rows.agg(F.count_distinct("UNITID").alias("distinct_unitids"), F.count_if(F.col("ident") == "").alias("rows_missing_opeid"), F.count_distinct(F.when(F.col("ident") != "", F.col("ident"))).alias("distinct_opeid"))
     several = rows.where("ident <> ''").groupBy("UNITID").agg(F.count_distinct("ident").alias("n")).agg(F.count_if(F.col("n") > 1).alias("unitids_with_multiple_opeid"))
     shared = rows.where("ident <> ''").groupBy("ident").agg(F.count_distinct("UNITID").alias("n")).agg(F.count_if(F.col("n") > 1).alias("opeids_with_multiple_unitids"))
-    overall = whole.join(F.broadcast(several)).join(F.broadcast(shared)).withColumns(
+    overall = one_row([whole, several, shared]).withColumns(
         {"year": F.lit(None).cast("int"), "shared_opeid_groups": F.lit(None).cast("bigint"), "unitids_in_shared_opeids": F.lit(None).cast("bigint")}
     )
     return yearly.unionByName(overall)
@@ -169,5 +169,7 @@ def reconcile(metrics: DataFrame, benchmarks: DataFrame) -> DataFrame:
     return rows.join(metrics, ["year", "metric", "column"], "left").withColumn("status", F.when(F.coalesce(near, F.lit(False)), "PASS").otherwise("FAIL"))
 
 
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
+def one_row(parts: list[DataFrame]) -> DataFrame:
+    """Aggregates of one row each side by side, without a join."""
+    both = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns])

@@ -17,6 +17,8 @@ from panelloom.runtime import bounded
 CONFLICT_KEY = ["UNITID", "year", "varnumber", "source_file"]
 STAGE = ["UNITID", "year", "varname", "value", "value_norm", "source_file", "varnumber"]
 NUMERIC_FORMATS = T.NUMERIC_MARKERS
+#: Columns that a wide table can have at most.
+MAX_TARGETS = 20_000
 STRING_FORMATS = ("disc", "discrete", "char", "string", "text", "categorical", "category")
 
 
@@ -195,7 +197,8 @@ def order_targets(targets) -> list[str]:
 def cast_report(final: DataFrame, targets: DataFrame) -> DataFrame:
     """(year, column, counts) of numeric targets: every year and target has a row, so zero rows show."""
     number = T.read_plain_double(F.col("value_norm"))
-    grid = final.select("year").distinct().join(F.broadcast(targets.select(F.col("varname").alias("column"))))
+    names = [r.varname for r in targets.select("varname").distinct().orderBy("varname").limit(MAX_TARGETS).collect()]  # columns of a table
+    grid = final.select("year").distinct().select("year", F.explode(F.lit(names).cast("array<string>")).alias("column"))
     counts = final.groupBy("year", F.col("varname").alias("column")).agg(F.count("value_norm").alias("non_empty_tokens"), F.count(number).alias("parsed_numeric_tokens"))
     out = grid.join(counts, ["year", "column"], "left").fillna(0, ["non_empty_tokens", "parsed_numeric_tokens"])
     return out.withColumn("failed_parse_tokens", F.col("non_empty_tokens") - F.col("parsed_numeric_tokens"))
