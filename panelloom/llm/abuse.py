@@ -381,18 +381,20 @@ def fit(documents: DataFrame, labels: DataFrame) -> Model:
             rows = [(d, y, h, r.tolist()) for d, y, h, t in zip(b.doc_id, b.y, b.half, b.text) for r in document_features(t, [lexicons[1 - h]])]
             yield pd.DataFrame(rows, columns=["doc_id", "y", "half", "x"])
 
-    got = sample.mapInPandas(featurise, "doc_id long, y int, half int, x array<float>").toPandas().sort_values("doc_id", kind="stable")
-    judgement = got.groupby("doc_id").y.first()
-    if min((judgement == 1).sum(), (judgement == 0).sum()) < MIN_EACH:
+    # The passages of at most MAX_LABELLED documents, as one table of floats.
+    got = sample.mapInPandas(featurise, "doc_id long, y int, half int, x array<float>").toArrow()
+    order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
+    doc, y, h = (got[c].to_numpy()[order] for c in ("doc_id", "y", "half"))
+    x = np.concatenate([np.zeros(0, np.float32), *[c.flatten().to_numpy() for c in got["x"].chunks]]).reshape(-1, len(FEATURES))[order]
+    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, int)
+    if min((y[first] == 1).sum(), (y[first] == 0).sum()) < MIN_EACH:
         return Model([t for t in lexicons if t], None, None)
-    x, doc, y, h = np.stack(got.x.to_numpy()).astype(np.float32), got.doc_id.to_numpy(), got.y.to_numpy(), got.half.to_numpy()
     held = np.zeros(len(y))
     for k in (0, 1):
         train = h != k
         if not (y[train] == 1).any() or not (y[train] == 0).any():
             return Model([t for t in lexicons if t], None, None)
         held[~train] = boost_passages(x[train], doc[train], y[train]).margin(x[~train])
-    first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
     return Model(lexicons, boost_passages(x, doc, y), isotonic(np.maximum.reduceat(held, first), y[first]))
 
 

@@ -69,14 +69,14 @@ def budgets(docs: DataFrame, targets: DataFrame, total: int | None = None) -> Da
     rows = clean_targets(targets).join(have, "source", "left").fillna(0, ["available", "n_docs"])
     present = (F.col("available") > 0) & (F.col("max_repeats") > 0)
     bound = rows.where(present).agg(
-        F.sum("target_share").alias("_present"), F.min(F.col("available") * F.col("max_repeats") / F.col("target_share")).alias("_most")
-    )
-    share = F.when(present, F.col("target_share") / F.col("_present"))
-    size = F.lit(float(total)) if total is not None else F.col("_most") * F.col("_present")
+        F.sum("target_share").alias("present"), F.min(F.col("available") * F.col("max_repeats") / F.col("target_share")).alias("most")
+    ).first()
+    whole = F.lit(bound.present).cast("double")
+    share = F.when(present, F.col("target_share") / whole)
+    size = F.lit(float(total)) if total is not None else F.lit(bound.most).cast("double") * whole
     cap = F.col("available") * F.col("max_repeats")
     budget = F.coalesce(F.least(F.floor(share * size + 1e-6), cap), F.lit(0)).cast("bigint")
-    # ``bound`` is an aggregate without keys: exactly one row.
-    out = rows.join(F.broadcast(bound)).withColumn("share_among_present", share).withColumn("budget", budget)
+    out = rows.withColumn("share_among_present", share).withColumn("budget", budget)
     epochs = F.when(F.col("available") > 0, F.expr("budget div available")).otherwise(0)
     return out.select(
         "source", "target_share", "max_repeats", "n_docs", "available", "share_among_present", "budget", epochs.alias("epochs"),
@@ -111,8 +111,9 @@ def shares(documents: DataFrame, targets: DataFrame, total: int | None = None, p
         F.sum(F.col("n_tokens") * F.col("repeats")).alias("tokens"), F.count(F.lit(1)).alias("docs_used"), F.max("repeats").alias("most_repeats")
     )
     rows = plan.join(used, "source", "left").fillna(0, ["tokens", "docs_used", "most_repeats"])
-    whole = rows.agg(F.sum("tokens").alias("_all"))
-    return rows.join(F.broadcast(whole)).select(
-        "source", "target_share", "share_among_present", F.try_divide("tokens", F.col("_all")).alias("reached_share"), "max_repeats", "most_repeats",
+    rows = materialise(rows, "shares")
+    whole = F.lit(rows.agg(F.sum("tokens")).first()[0]).cast("bigint")
+    return rows.select(
+        "source", "target_share", "share_among_present", F.try_divide("tokens", whole).alias("reached_share"), "max_repeats", "most_repeats",
         "n_docs", "docs_used", "available", "budget", "tokens",
     )
