@@ -6,6 +6,9 @@
    vocabulary of the items) gives latent word vectors. Each partition adds its share of A'(A Q) to a small matrix.
 3. Windows of every document are compared with the items' passages by cosine in the latent space. Two bounds that lose
    nothing come first: the share of a window's weight on item words, and on the latent space, are both at least the cosine.
+   The cosine itself can fall short for a true stretch (rare foreign words weigh much, the space has a fixed rank), so
+   documents with enough neighbouring word pairs of an item close together are candidates too. ``pair_bound`` derives that
+   number from the definition of a stretch: no stretch has fewer, whatever its words weigh.
 4. Candidates are aligned with the item by a longest common subsequence with few gaps, and kept if a stretch of the
    wanted length agrees in the wanted share of its words.
 
@@ -15,6 +18,7 @@ rarity; they weigh as much as a word of one document.
 
 from __future__ import annotations
 
+import bisect
 import html
 import re
 import unicodedata
@@ -32,6 +36,8 @@ _TAG = re.compile(r"<[^<>]{0,300}>")
 _BREAK = re.compile(r"(?<=\w)[-‐]\s*\n\s*(?=[a-zß-ÿ])")
 _INNER = re.compile(r"(?<=\w)['’ʼ](?=\w)")
 _WORD = re.compile(r"[^\W_]+")
+#: Neighbouring words of an item count as a pair up to so many words apart in a document.
+PAIR_REACH = 3
 
 
 @dataclass(frozen=True)
@@ -190,6 +196,95 @@ def latent_words(docs: DataFrame, items: Items, weights: np.ndarray, s: Settings
     return (q @ vectors[:, ::-1][:, :rank]).astype(np.float32)
 
 
+def pair_bound(s: Settings, longest: int = 400) -> tuple[int, int]:
+    """(pairs, width): every stretch has so many of the item's neighbouring word pairs at document positions of some ``width``.
+
+    Of L words with U unmatched, at least L - 1 - 2U neighbours are both matched, in at most 1.4 L + 3 words of the document
+    (see ``aligned``); those that stand more than ``PAIR_REACH`` apart there use up that room. A stretch of several widths
+    has the average of them in one.
+    """
+    width = 2 * int(1.4 * s.stretch + 3 + 1e-9)
+    fewest = []
+    for n in range(s.stretch, max(longest, s.stretch) + 1):
+        room = int(1.4 * n + 3 + 1e-9)
+        for lost in range(int((1 - s.agree) * n + 1e-9) + 1):
+            both = n - 1 - 2 * lost
+            apart = max(0, (room - 1 - lost - both) // PAIR_REACH)
+            fewest.append(-(-(both - apart) // -(-room // width)))
+    return min(fewest), width
+
+
+@dataclass
+class Pairs:
+    """Neighbouring words of the items: sorted pair codes, and the items of each."""
+
+    size: int
+    codes: np.ndarray
+    first: np.ndarray
+    owner: np.ndarray
+    texts: np.ndarray
+    words: dict[int, list[int]]
+
+    @classmethod
+    def of(cls, items: Items, shortest: int) -> Pairs:
+        size = len(items.vocabulary)
+        texts = [k for k, t in enumerate(items.texts) if len(t) >= shortest]
+        code = [np.unique(items.texts[k][:-1].astype(np.int64) * size + items.texts[k][1:]) for k in texts]
+        all_codes = np.concatenate(code or [np.zeros(0, np.int64)])
+        owner = np.repeat(np.array(texts, dtype=np.int64), [len(c) for c in code])
+        order = np.argsort(all_codes, kind="stable")
+        codes, first = np.unique(all_codes[order], return_index=True)
+        return cls(size, codes, np.append(first, len(order)), owner[order], np.array(texts, dtype=np.int64), {k: items.texts[k].tolist() for k in texts})
+
+    def near(self, doc: np.ndarray, pairs: int, width: int) -> dict[int, np.ndarray]:
+        """The items with at least ``pairs`` places within ``width`` words of the document, and the first places of those."""
+        if pairs < 1:
+            return {int(k): np.arange(len(doc)) for k in self.texts}
+        ids, keys = doc.astype(np.int64), []
+        for apart in range(1, PAIR_REACH + 1):
+            a, b = ids[:-apart], ids[apart:]
+            code = np.where((a >= 0) & (b >= 0), a * self.size + b, -1)
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            place = np.flatnonzero(self.codes[at] == code)
+            n = self.first[at[place] + 1] - self.first[at[place]]
+            start = np.repeat(self.first[at[place]] - (np.cumsum(n) - n), n)
+            keys.append(self.owner[start + np.arange(n.sum())] * len(ids) + np.repeat(place, n))
+        key = np.unique(np.concatenate(keys))
+        if len(key) < pairs:
+            return {}
+        k, last = key[: len(key) - pairs + 1], key[pairs - 1 :]
+        k = k[(k // len(ids) == last // len(ids)) & (last - k < width)]
+        item, place = k // len(ids), k % len(ids)
+        cut = np.flatnonzero(np.diff(item)) + 1
+        out = {}
+        for i, p in zip(np.split(item, cut), np.split(place, cut)):
+            if len(i) and len(p := self.chained(int(i[0]), doc, p, pairs, width)):
+                out[int(i[0])] = p
+        return out
+
+    def chained(self, k: int, doc: np.ndarray, places: np.ndarray, pairs: int, width: int) -> np.ndarray:
+        """The places from which ``pairs`` pairs follow each other in the item too: those of a stretch stand in its order."""
+        text = self.words[k]
+        where: dict[tuple, list[int]] = {}
+        for q in range(len(text) - 1):
+            where.setdefault((text[q], text[q + 1]), []).append(q)
+        # No pair of a window that is wide enough starts before the first place or ends after the last one's width.
+        lo, hi = int(places[0]), int(places[-1]) + width
+        near = doc[lo : hi + PAIR_REACH].tolist()
+        at = [sorted({q for x in near[p + 1 : p + 1 + PAIR_REACH] for q in where.get((near[p], x), ())}) for p in range(min(len(near), hi - lo))]
+        some = [p for p, q in enumerate(at) if q]
+        kept = []
+        for first in (places - lo).tolist():
+            ends: list[int] = []  # the least item position at which a chain of each length ends
+            for p in some[bisect.bisect_left(some, first) : bisect.bisect_left(some, first + width)]:
+                for q in reversed(at[p]):
+                    slot = bisect.bisect_left(ends, q)
+                    ends[slot : slot + 1] = [q]
+            if len(ends) >= pairs:
+                kept.append(first + lo)
+        return np.array(kept, dtype=np.int64)
+
+
 def _window_sums(x: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     total = np.concatenate([np.zeros((1, *x.shape[1:]), dtype=np.float64), np.cumsum(x, axis=0, dtype=np.float64)])
     return total[ends] - total[starts]
@@ -214,6 +309,9 @@ def aligned(item: np.ndarray, doc: np.ndarray, s: Settings) -> tuple[int, float]
         top = int(score[i].argmax())
         if score[i, top] > best:
             best, at = float(score[i, top]), (i, top)
+    # A stretch has at least ``agree`` of its words in place; the others and the words between cost 0.5 each.
+    if best < (1.5 * s.agree - 0.5 - 0.5 * (1.4 - s.agree)) * s.stretch - 1.5 - 1e-6:
+        return 0, 0.0
     place = np.full(n, -1)
     i, j = at
     while i > 0 and j > 0 and score[i, j] > 0:
@@ -226,6 +324,40 @@ def aligned(item: np.ndarray, doc: np.ndarray, s: Settings) -> tuple[int, float]
             i -= 1
         else:
             j -= 1
+    got = _stretch(place, s)
+    if not got[0]:
+        # An end such as one word in place before three replaced ones is worth nothing to the score, yet belongs to a stretch.
+        w = s.stretch // 2
+        _fill(place, equal[max(0, i - w) : i, max(0, j - 2 * w) : j], max(0, i - w), max(0, j - 2 * w))
+        _fill(place, equal[at[0] : at[0] + w, at[1] : at[1] + 2 * w][::-1, ::-1], at[0] + w - 1, at[1] + 2 * w - 1, n, m)
+        got = _stretch(place, s)
+    return got
+
+
+def _fill(place: np.ndarray, equal: np.ndarray, i: int, j: int, n: int = 0, m: int = 0) -> None:
+    """Puts a longest common subsequence of a small rectangle into ``place``; with ``n`` and ``m`` it is laid out backwards."""
+    rows, columns = equal.shape
+    longest = np.zeros((rows + 1, columns + 1), dtype=int)
+    for a in range(rows):
+        for b in range(columns):
+            longest[a + 1, b + 1] = longest[a, b] + 1 if equal[a, b] else max(longest[a, b + 1], longest[a + 1, b])
+    a, b = rows, columns
+    while a and b:
+        if equal[a - 1, b - 1]:
+            a, b = a - 1, b - 1
+            if n:
+                place[min(i, n - 1) - a] = min(j, m - 1) - b
+            else:
+                place[i + a] = j + b
+        elif longest[a - 1, b] >= longest[a, b - 1]:
+            a -= 1
+        else:
+            b -= 1
+
+
+def _stretch(place: np.ndarray, s: Settings) -> tuple[int, float]:
+    """The longest stretch of an item of which enough words have a place in the document, and their share."""
+    n = len(place)
     hit = np.concatenate([[0], np.cumsum(place >= 0)])
     found = (0, 0.0)
     lo = np.arange(n)
@@ -254,6 +386,8 @@ def search(docs: DataFrame, items: Items, weights: np.ndarray, outside: float, v
     bank = np.concatenate(rows).astype(np.float32) if rows else np.zeros((0, vectors.shape[1]), np.float32)
     owner = np.array(owner)
     need = int(np.ceil(s.agree * s.stretch))
+    pairs = Pairs.of(items, s.stretch)
+    fewest, width = pair_bound(s, max((len(t) for t in items.texts), default=0))
     vocabulary = items.vocabulary
     answers = [[vocabulary.get(w, -2) for w in a] for a in items.answers]
 
@@ -299,12 +433,14 @@ def search(docs: DataFrame, items: Items, weights: np.ndarray, outside: float, v
                     n += len(texts[upto])
                     upto += 1
                 bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts[k:upto]])])
-                for p, found in candidates(np.concatenate(texts[k:upto]), bounds).items():
+                latent = candidates(np.concatenate(texts[k:upto]), bounds)
+                for p in range(upto - k):
                     doc = np.asarray(texts[k + p])
+                    paired = pairs.near(doc, fewest, width) if len(doc) >= need else {}
                     best: dict[int, tuple] = {}
-                    for i in sorted(found):
+                    for i in sorted(latent.get(p, set()) | paired.keys()):
                         # Only runs of the document that hold words of this item can align with it.
-                        for piece in _pieces(doc, items.texts[i], need):
+                        for piece in _pieces(doc, items.texts[i], need) + _around(doc, items.texts[i], paired.get(i, ()), width):
                             length, share = aligned(items.texts[i], piece, s)
                             if length > best.get(items.ids[i], (0,))[0]:
                                 best[items.ids[i]] = (length, share, _contains(piece, answers[i]))
@@ -327,13 +463,23 @@ def _pieces(doc: np.ndarray, item: np.ndarray, need: int) -> list[np.ndarray]:
     reach = 2 * need
     total = np.concatenate([[0], np.cumsum(mine)])
     dense = np.flatnonzero(total[np.minimum(np.arange(len(doc)) + reach, len(doc))] - total[:-1] >= need)
+    return _runs(doc, item, dense, reach, 5)
+
+
+def _around(doc: np.ndarray, item: np.ndarray, places: np.ndarray, width: int) -> list[np.ndarray]:
+    """Runs of the document around windows with enough pairs, wide enough for the longest stretch through each."""
+    return _runs(doc, item, places, width, int(1.4 * len(item)) + 4)
+
+
+def _runs(doc: np.ndarray, item: np.ndarray, places: np.ndarray, reach: int, margin: int) -> list[np.ndarray]:
+    """The document from ``margin`` words before each place to ``margin`` after its ``reach``; near ones are one run."""
     out, k = [], 0
-    while k < len(dense):
-        a = b = dense[k]
-        while k < len(dense) and dense[k] <= b + reach:
-            b = dense[k]
+    while k < len(places):
+        a = b = places[k]
+        while k < len(places) and places[k] <= b + reach:
+            b = places[k]
             k += 1
-        first, last = max(0, a - 5), b + reach + 5
+        first, last = max(0, a - margin), b + reach + margin
         # A long run is cut into overlapping pieces, each wide enough for any stretch of the item.
         width = 2 * len(item) + 60
         out += [doc[k : min(k + 2 * width, last)] for k in range(first, max(first + 1, min(last, len(doc)) - width), width)]

@@ -142,6 +142,51 @@ def test_retrieval_recall_against_brute_force(spark):
     assert len(brute & found) >= 0.9 * len(brute) and found <= brute
 
 
+def test_no_stretch_is_lost_among_rare_words(spark):
+    """15-word stretches with 3 words replaced by unknown ones, in long foreign text: all found, whatever the weights."""
+    rng = random.Random(5)
+    common = [f"c{k}" for k in range(60)]
+    items = [(k, " ".join(rng.choice(common) if rng.random() < 0.6 else f"w{rng.randrange(1500)}" for _ in range(90)), "") for k in range(60)]
+    docs, true = [], set()
+    for d in range(240):
+        text = [rng.choice(common) if rng.random() < 0.4 else f"z{rng.randrange(10**6)}" for _ in range(120)]
+        if d % 2 == 0:
+            k, a = rng.randrange(60), rng.randrange(76)
+            part = items[k][1].split()[a : a + 15]
+            for j in rng.sample(range(1, 14), 3):
+                part[j] = f"u{rng.randrange(10**6)}"
+            text[50:65] = part
+            true.add((d, k))
+        docs.append((d, " ".join(text)))
+    i, d = spark.createDataFrame(items, "item_id long, text string, answer string"), spark.createDataFrame(docs, "doc_id long, text string")
+    block = leakage.Items.of([{"item_id": k, "text": t, "answer": a} for k, t, a in items])
+    for n_docs in (240, 100_000):
+        docs_ = leakage.numbered(d, block.vocabulary)
+        weights, outside = leakage.weights_of(docs_, n_docs, len(block.vocabulary))
+        s = leakage.Settings()
+        vectors = leakage.latent_words(docs_, block, weights, s)
+        found = {(r.doc_id, r.item_id) for r in leakage.search(docs_, block, weights, outside, vectors, s).collect()}
+        assert true <= found
+
+
+def test_pair_bound_against_random_stretches():
+    """No stretch that the definition allows has fewer pairs than the bound, gaps in the document included."""
+    rng = np.random.default_rng(3)
+    s = leakage.Settings()
+    fewest, width = leakage.pair_bound(s)
+    assert fewest == 4
+    for _ in range(2000):
+        n = int(rng.integers(15, 90))
+        item = np.arange(n, dtype=np.int32)
+        kept = np.sort(rng.choice(n, n - rng.integers(0, int(0.2 * n + 1e-9) + 1), replace=False))
+        room = int(1.4 * n + 3)
+        places = np.sort(rng.choice(room, len(kept), replace=False))
+        doc = np.full(room + 40, -1, dtype=np.int32)
+        doc[20 + places] = kept
+        block = leakage.Items([0], [[]], [item], {str(k): k for k in range(n)})
+        assert 0 in leakage.Pairs.of(block, s.stretch).near(doc, fewest, width)
+
+
 def test_latent_words_are_orthonormal(spark):
     items, docs, _ = corpus()
     block = leakage.Items.of([{"item_id": k, "text": t, "answer": a} for k, t, a in items])
