@@ -88,3 +88,9 @@ def test_stream_of_references(spark, tmp_path):
     assert rows_of(incremental.open_references(spark, state, index), "table_name", "year", "n_references") == [("p", 2010, 1)]
     gone = orphans.apply_parents(index, index.withColumn("n", -F.col("n")))
     assert rows_of(incremental.open_references(spark, state, gone), "n_references", "n_keys") == [(3, 2)]
+
+
+def test_latin1_after_many_plain_lines(spark, tmp_path):
+    path = tmp_path / "late.csv"
+    path.write_bytes(b"UNITID,NAME\n" + b"1,plain\n" * 500 + "2,Universit\u00e9\n".encode("latin-1"))
+    assert readers.read_csv(spark, str(path)).where("UNITID = '2'").first().NAME == "Universit\u00e9"
