@@ -1,86 +1,98 @@
-"""Evaluation texts leaking into training text: latent semantic retrieval, then alignment checks.
-
-1. Every document is normalised to words; words of the items become numbers, all others -1. Document frequencies are
-   counted over all documents.
-2. A distributed randomised SVD of the TF-IDF passage matrix (passages of all documents and of the items, over the
-   vocabulary of the items) gives latent word vectors. Each partition adds its share of A'(A Q) to a small matrix.
-3. Windows of every document are compared with the items' passages by cosine in the latent space. Two bounds that lose
-   nothing come first: the share of a window's weight on item words, and on the latent space, are both at least the cosine.
-   The cosine itself can fall short for a true stretch (rare foreign words weigh much, the space has a fixed rank), so
-   documents with enough neighbouring word pairs of an item close together are candidates too. ``pair_bound`` derives that
-   number from the definition of a stretch: no stretch has fewer, whatever its words weigh.
-4. Candidates are aligned with the item by a longest common subsequence with few gaps, and kept if a stretch of the
-   wanted length agrees in the wanted share of its words.
-
-Words outside of the items' vocabulary never match an item, so leaving them unnumbered loses nothing but their exact
-rarity; they weigh as much as a word of one document.
+"""Evaluation texts leaking into training text: latent semantic retrieval, then alignment and answer checks.
+
+1. Every document is normalised to words once; words of the items become numbers, all others -1. Document frequencies are
+   counted over all documents. Weights are TF-IDF with the rarity scaled to [1, 2], words outside of the items weigh 2: so a
+   stretch keeps a high cosine with its item whatever words stand in place of the replaced ones.
+2. A distributed randomised SVD of the TF-IDF passage matrix A (passages of all documents and of the items, over the words
+   of the items) gives latent word vectors. A'A is summed over all passages in one pass, as the few words of a passage that
+   are item words make few products; the range finder multiplies the rows of A'A where they lie.
+3. Windows of every document are compared with the items' windows by cosine in the latent space. What the space leaves out
+   is bounded by the product of the two residual norms, so latent product plus residual product is never below the cosine of
+   the full vectors: the search loses no pair of windows with at least that cosine, whatever the rank. Windows with fewer item
+   words than any stretch has are left out first.
+4. Candidates are aligned with the item by a longest common subsequence with few gaps. ``stretch``: a stretch of the wanted
+   length agrees in the wanted share of its words. ``paraphrase``: fewer words agree, but the answer stands in the passage.
 """
 
 from __future__ import annotations
 
-import bisect
 import html
-import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.runtime import materialise, pick
 
-_TAG = re.compile(r"<[^<>]{0,300}>")
-_BREAK = re.compile(r"(?<=\w)[-‐]\s*\n\s*(?=[a-zß-ÿ])")
-_INNER = re.compile(r"(?<=\w)['’ʼ](?=\w)")
-_WORD = re.compile(r"[^\W_]+")
-#: Neighbouring words of an item count as a pair up to so many words apart in a document.
-PAIR_REACH = 3
+#: A tag of any length: a letter, a slash, a mark or a comment must follow, so that "a < b" stays text.
+_TAG = regex.compile(r"<(?:[/!?]?[A-Za-z]|!--)[^<>]*>")
+_BREAK = regex.compile(r"(?<=\w)[-‐]\s*\n\s*(?=[a-zß-ÿ])")
+_MARKS = regex.compile(r"[\p{Mn}\p{Cf}]+")
+_APOSTROPHE = regex.compile("['’ʼ]")
+_WORD = regex.compile(r"[^\W_]+")
+_PLAIN = bytes(ord(chr(c).lower()) if chr(c).isalnum() else 32 for c in range(128)) + bytes(range(128, 256))
 
 
 @dataclass(frozen=True)
 class Settings:
-    """``stretch`` words of an item must be found, ``agree`` of them in place. The rest tunes retrieval and memory.
-
-    ``block`` items are searched at a time; each block is one pass, whose vocabulary and passages are shipped to the
-    workers: their size is bounded by the block, not by the data.
+    """``stretch`` words of an item must be found, ``agree`` of them in place; a paraphrase needs ``loose`` of them and the
+    answer. The rest tunes retrieval and memory.
+
+    ``inside``: of ``window`` words taken every ``step``, some window holds so many words of a stretch whose words stand within
+    20 of the document. ``cosine``: the gate of full vectors; planted stretches with a fifth of their words replaced, changed
+    or left out have 0.54 or more. The rank is ``rank``, or a third of the vocabulary if that is more. ``block`` items are
+    searched at a time; each block is one pass, whose vocabulary and windows are shipped to the workers: their size is
+    bounded by the block, not by the data.
     """
 
     stretch: int = 15
     agree: float = 0.8
+    loose: float = 0.6
     window: int = 16
     step: int = 4
     item_step: int = 2
+    inside: int = 8
     rank: int = 256
     oversample: int = 16
-    iterations: int = 1
-    cosine: float = 0.30
-    block: int = 2000
+    iterations: int = 2
+    cosine: float = 0.40
+    block: int = 500
     batch_words: int = 200_000
     seed: int = 7
 
 
-def words(text: str | None) -> list[str]:
-    """Lower-case words of a text without markup, accents, soft hyphens and punctuation; apostrophes join."""
+def plain(text: str | None) -> str:
+    """A text's lower-case words with blanks between, without markup, accents, soft hyphens, punctuation and apostrophes."""
     if not text:
-        return []
+        return ""
     if "<" in text:
         text = _TAG.sub(" ", text)
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text)
-        text = "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Cf"))
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text))
     if "-" in text or "‐" in text:
         text = _BREAK.sub("", text)
-    return _WORD.findall(_INNER.sub("", text).lower())
+    if text.isascii():
+        return text.encode().translate(_PLAIN, b"'").decode()
+    return " ".join(_WORD.findall(_APOSTROPHE.sub("", text).lower()))
+
+
+def words(text: str | None) -> list[str]:
+    """The words of :func:`plain`."""
+    return plain(text).split()
 
 
 @dataclass
 class Items:
-    """A block of items as word numbers, with its vocabulary."""
+    """A block of items as word numbers, with its vocabulary, that of the answers included."""
 
     ids: list[int]
     answers: list[list[str]]
@@ -97,6 +109,8 @@ class Items:
         out = cls([], [], [], {})
         for r in rows:
             ids = np.array([out.vocabulary.setdefault(w, len(out.vocabulary)) for w in words(r["text"])], dtype=np.int32)
+            for w in words(r["answer"]):
+                out.vocabulary.setdefault(w, len(out.vocabulary))
             for k in range(0, max(1, len(ids) - 60), longest - 60):
                 out.ids.append(r["item_id"])
                 out.answers.append(words(r["answer"]))
@@ -108,87 +122,115 @@ def numbered(documents: DataFrame, vocabulary: dict[str, int]) -> DataFrame:
     """(doc_id, ids): each document's words as numbers of the vocabulary, -1 for others; documents without a word of it
     are left out, as they share nothing with any item."""
 
-    def number(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        get = vocabulary.get
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(list(vocabulary), pa.string())
         for b in batches:
-            out = []
-            for d, t in zip(b.doc_id, b.text):
-                ids = np.array([get(w, -1) for w in words(t)], dtype=np.int32)
-                if len(ids) and ids.max() >= 0:
-                    out.append((d, ids))
-            yield pd.DataFrame(out, columns=["doc_id", "ids"])
+            parts = pc.utf8_split_whitespace(pa.array([plain(t).strip() or "-" for t in b.column("text").to_pylist()], pa.string()))
+            ids = pc.fill_null(pc.index_in(parts.flatten(), value_set=known), -1)
+            lists = pa.ListArray.from_arrays(parts.offsets, ids)
+            some = np.zeros(len(lists), dtype=bool)
+            some[np.asarray(pc.list_parent_indices(lists))[np.asarray(ids) >= 0]] = True
+            out = pa.RecordBatch.from_arrays([b.column("doc_id"), lists], ["doc_id", "ids"])
+            yield out.filter(pa.array(some))
 
-    return documents.select("doc_id", "text").where("text is not null and doc_id is not null").mapInPandas(number, "doc_id long, ids array<int>")
+    return documents.select("doc_id", "text").where("text is not null and doc_id is not null").mapInArrow(number, "doc_id long, ids array<int>")
 
 
 def weights_of(docs: DataFrame, n_docs: int, size: int) -> tuple[np.ndarray, float]:
-    """The inverse document frequency of each vocabulary word over all documents, and that of a word outside."""
+    """The weight of each vocabulary word, 1 plus its scaled inverse document frequency over all documents, and that of a
+    word outside, the largest there is."""
     counts = docs.select(F.explode(F.array_distinct("ids")).alias("w")).where("w >= 0").groupBy("w").count().collect()  # at most one row per item word
     df = np.zeros(size)
     for r in counts:
         df[r["w"]] = r["count"]
-    return np.log((n_docs + 2) / (df + 1)).astype(np.float32), float(np.log((n_docs + 2) / 2))
+    return (1 + np.log((n_docs + 2) / (df + 1)) / np.log(n_docs + 2)).astype(np.float32), 2.0
 
 
-def _passages(ids: np.ndarray, weights: np.ndarray, width: int, size: int) -> np.ndarray:
-    """Unit TF-IDF rows of consecutive passages of ``width`` words over the vocabulary."""
-    n = -(-len(ids) // width)
-    at = np.arange(len(ids)) // width
-    keep = ids >= 0
-    flat = np.bincount(at[keep] * size + ids[keep], weights=weights[ids[keep]], minlength=n * size).astype(np.float32)
-    rows = flat.reshape(n, size)
-    norm = np.linalg.norm(rows, axis=1, keepdims=True)
-    return rows / np.where(norm > 0, norm, 1)
+def _entries(ids: np.ndarray, weights: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(passage, word, value) of the unit TF-IDF rows of consecutive passages of ``width`` words, by passage."""
+    size = len(weights)
+    keep = np.flatnonzero(ids >= 0)
+    code, tf = np.unique(keep // width * size + ids[keep], return_counts=True)
+    at, word = code // size, code % size
+    value = tf * weights[word].astype(np.float64)
+    norm = np.sqrt(np.bincount(at, value**2))
+    return at, word, value / norm[at]
+
+
+def _products(ids: np.ndarray, weights: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """A'A of the passages of ``ids``, sparse: codes (row times size plus column) and sums."""
+    at, word, value = _entries(ids, weights, width)
+    first = np.searchsorted(at, at, side="left")
+    n = np.searchsorted(at, at, side="right") - first
+    left = np.repeat(np.arange(len(at)), n)
+    right = np.arange(len(left)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(first, n)
+    code, where = np.unique(word[left] * len(weights) + word[right], return_inverse=True)
+    return code, np.bincount(where, value[left] * value[right], len(code))
+
+
+def gram(docs: DataFrame, weights: np.ndarray, width: int) -> DataFrame:
+    """(w, v, g): A'A over the passages of all documents. Products are summed per batch before the shuffle; a row of the
+    result has at most as many entries as the items have words."""
+    size = len(weights)
 
+    def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if not len(b):
+                continue
+            # Passages don't cross documents: each is padded to whole passages with words outside of the vocabulary.
+            flat = np.concatenate([y for x in b.ids for y in (x, np.full(-len(x) % width, -1, dtype=np.int32))])
+            code, g = _products(flat, weights, width)
+            yield pd.DataFrame({"w": code // size, "v": code % size, "g": g})
 
-def _times(docs: DataFrame, q: np.ndarray, weights: np.ndarray, width: int) -> np.ndarray:
-    """A'(A q) over the passages of all documents: one small matrix per task, summed by row in a grouped pass.
+    return docs.select("ids").mapInPandas(part, "w int, v int, g double").groupBy("w", "v").agg(F.sum("g").alias("g"))
 
-    Tasks are no more than a few per core, so the number of matrices follows the cluster and not the data.
-    """
-    size = len(weights)
+
+def _times(products: DataFrame, q: np.ndarray) -> np.ndarray:
+    """(A'A) q: the entries of a row of A'A lie in one partition, so every task makes whole rows of the product."""
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(q.shape, dtype=np.float64)
         for b in batches:
-            # Passages don't cross documents: each is padded to whole passages with words outside of the vocabulary.
-            ids = [np.concatenate([x, np.full(-len(x) % width, -1, dtype=np.int32)]) for x in b.ids]
-            flat = np.concatenate(ids) if ids else np.zeros(0, dtype=np.int32)
-            for k in range(0, len(flat), width * 2048):
-                rows = _passages(flat[k : k + width * 2048], weights, width, size)
-                rows = rows[rows.any(axis=1)]
-                total += rows.T @ (rows @ q)
-        if total.any():
-            yield pd.DataFrame({"w": np.arange(size), "row": list(total)})
-
-    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"w": [key[0]], "row": [np.sum(np.stack(rows.row.to_numpy()), axis=0)]})
-
-    tasks = 2 * docs.sparkSession.sparkContext.defaultParallelism
-    summed = docs.coalesce(tasks).mapInPandas(part, "w int, row array<double>").groupBy("w").applyInPandas(add, "w int, row array<double>")
+            row, at = np.unique(b.w.to_numpy(), return_inverse=True)
+            for k in range(0, len(row), 512):
+                here = (at >= k) & (at < k + 512)
+                dense = np.zeros((min(512, len(row) - k), len(q)), dtype=np.float32)
+                np.add.at(dense, (at[here] - k, b.v.to_numpy()[here]), b.g.to_numpy()[here])
+                yield pd.DataFrame({"w": row[k : k + 512], "row": list(dense @ q)})
+
     out = np.zeros(q.shape)
-    for r in summed.collect():  # vocabulary x rank numbers, both bounded by Settings
-        out[r["w"]] = r["row"]
+    for r in products.mapInPandas(part, "w int, row array<float>").collect():  # vocabulary x rank numbers, bounded by the block of items
+        out[r["w"]] += r["row"]
     return out
 
 
 def latent_words(docs: DataFrame, items: Items, weights: np.ndarray, s: Settings) -> np.ndarray:
     """Latent word vectors (vocabulary x rank): right singular vectors of the passage matrix by a randomised range finder.
 
-    The items' own passages are part of the matrix; their rows are scaled so that both halves have a like norm, else rare
-    item words would drown in the corpus.
+    The items' own passages are part of the matrix; their rows are scaled to four times the norm of the corpus, as the items
+    are what has to be told apart.
     """
     size = len(weights)
-    rank = min(s.rank, size)
-    mine = np.concatenate([_passages(t, weights, s.window, size) for t in items.texts if len(t)] or [np.zeros((1, size), np.float32)])
+    rank = min(max(s.rank, -(-size // 3)), size)
+    mine = np.zeros((size, size)) if size <= 4096 else None
+    own = [_products(t, weights, s.window) for t in items.texts if len(t)]
+    products = materialise(gram(docs, weights, s.window).repartition("w").sortWithinPartitions("w"), "gram")
+
+    def own_times(q: np.ndarray) -> np.ndarray:
+        out = np.zeros(q.shape)
+        for code, g in own:
+            np.add.at(out, code // size, g[:, None] * q[code % size])
+        return out
+
+    if mine is not None:
+        for code, g in own:
+            mine[code // size, code % size] += g
     q = np.linalg.qr(np.random.default_rng(s.seed).standard_normal((size, min(size, rank + s.oversample))))[0]
     value = None
-    for _ in range(s.iterations + 1):
-        corpus = _times(docs, q.astype(np.float32), weights, s.window)
-        own = mine.T @ (mine @ q)
-        scale = np.linalg.norm(corpus) / max(np.linalg.norm(own), 1e-12) if corpus.any() else 1.0
-        value = corpus + own * max(scale, 1.0)
-        if _ < s.iterations:
+    for turn in range(s.iterations + 1):
+        corpus = _times(products, q.astype(np.float32))
+        ours = mine @ q if mine is not None else own_times(q)
+        value = corpus + ours * max(4 * np.linalg.norm(corpus) / max(np.linalg.norm(ours), 1e-12), 1.0)
+        if turn < s.iterations:
             q = np.linalg.qr(value)[0]
     # q' (A'A) q is small: its eigenvectors turn the range into singular directions.
     small = q.T @ value
@@ -196,146 +238,135 @@ def latent_words(docs: DataFrame, items: Items, weights: np.ndarray, s: Settings
     return (q @ vectors[:, ::-1][:, :rank]).astype(np.float32)
 
 
-def pair_bound(s: Settings, longest: int = 400) -> tuple[int, int]:
-    """(pairs, width): every stretch has so many of the item's neighbouring word pairs at document positions of some ``width``.
-
-    Of L words with U unmatched, at least L - 1 - 2U neighbours are both matched, in at most 1.4 L + 3 words of the document
-    (see ``aligned``); those that stand more than ``PAIR_REACH`` apart there use up that room. A stretch of several widths
-    has the average of them in one.
+class Bank:
+    """Windows of words as latent unit vectors, with what the latent space leaves of each as one more coordinate."""
+
+    def __init__(self, ids: np.ndarray, weights: np.ndarray, outside: float, vectors: np.ndarray) -> None:
+        """``ids``: a row per window, -1 for words outside of the vocabulary, -2 for none."""
+        self.ids = ids
+        self.square = np.where(ids >= 0, weights[ids].astype(np.float32) ** 2, 0)
+        own = np.einsum("ij,ij->i", (ids[:, :, None] == ids[:, None, :]).sum(axis=2, dtype=np.float32), self.square)
+        self.norm = np.sqrt(own + (ids == -1).sum(axis=1) * np.float32(outside) ** 2) + np.float32(1e-9)
+        embed = np.vstack([vectors * weights[:, None], np.zeros((2, vectors.shape[1]), np.float32)])
+        latent = np.zeros((len(ids), vectors.shape[1] + 1), dtype=np.float32)
+        for j in range(ids.shape[1]):
+            latent[:, :-1] += embed[ids[:, j]]
+        rest = own - np.einsum("ij,ij->i", latent, latent)
+        latent[:, -1] = np.sqrt(np.maximum(rest, 0))
+        self.latent = latent / self.norm[:, None]
+
+    def near(self, other: Bank, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(mine, theirs, cosine) of all pairs of windows with at least that cosine of the full vectors."""
+        found = []
+        rows = max(16, 8_000_000 // max(1, len(other.ids)))
+        for k in range(0, len(self.ids), rows):
+            x, y = np.nonzero(self.latent[k : k + rows] @ other.latent.T >= cosine - 1e-4)
+            for c in range(0, len(x), 50_000):
+                a, b = x[c : c + 50_000] + k, y[c : c + 50_000]
+                alike = (self.ids[a][:, :, None] == other.ids[b][:, None, :]).sum(axis=2, dtype=np.float32)
+                cos = np.einsum("ij,ij->i", alike, self.square[a]) / (self.norm[a] * other.norm[b])
+                keep = cos >= cosine - 1e-6
+                found.append((a[keep], b[keep], cos[keep]))
+        if not found:
+            return np.zeros(0, int), np.zeros(0, int), np.zeros(0)
+        return tuple(np.concatenate(z) for z in zip(*found))
+
+
+def _windows(flat: np.ndarray, bounds: np.ndarray, width: int, step: int, inside: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, start, ids) of the windows of texts laid end to end that hold at least ``inside`` known words."""
+    length = np.diff(bounds)
+    n = np.where(length > 0, 1 + np.maximum(0, -(-(length - width) // step)), 0)
+    owner = np.repeat(np.arange(len(length)), n)
+    turn = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+    start = bounds[owner] + np.minimum(turn * step, np.maximum(0, length[owner] - width))
+    stop = np.minimum(start + width, bounds[owner + 1])
+    total = np.concatenate([[0], np.cumsum(flat >= 0)])
+    keep = total[stop] - total[start] >= inside
+    owner, start, stop = owner[keep], start[keep], stop[keep]
+    at = start[:, None] + np.arange(width)
+    ids = np.where(at < stop[:, None], flat[np.minimum(at, max(0, len(flat) - 1))], -2) if len(start) else np.zeros((0, width), np.int32)
+    return owner, start, ids
+
+
+def align(pairs: list[tuple[np.ndarray, np.ndarray]], s: Settings) -> list[np.ndarray | None]:
+    """For pairs (item, piece of a document): the place of each item word in the piece or -1, None for pairs without a stretch.
+
+    A local alignment (match 1, replaced or skipped word -0.5) gives the longest common subsequence with few gaps. Pairs of
+    like size are aligned together, a row of all their tables at a time.
     """
-    width = 2 * int(1.4 * s.stretch + 3 + 1e-9)
-    fewest = []
-    for n in range(s.stretch, max(longest, s.stretch) + 1):
-        room = int(1.4 * n + 3 + 1e-9)
-        for lost in range(int((1 - s.agree) * n + 1e-9) + 1):
-            both = n - 1 - 2 * lost
-            apart = max(0, (room - 1 - lost - both) // PAIR_REACH)
-            fewest.append(-(-(both - apart) // -(-room // width)))
-    return min(fewest), width
-
+    out: list[np.ndarray | None] = [None] * len(pairs)
+    order = sorted(range(len(pairs)), key=lambda k: (len(pairs[k][0]), len(pairs[k][1])))
+    k = 0
+    while k < len(order):
+        n = m = 0
+        upto = k
+        while upto < len(order):
+            n1, m1 = max(n, len(pairs[order[upto]][0])), max(m, len(pairs[order[upto]][1]))
+            if upto > k and (upto - k + 1) * (n1 + 1) * (m1 + 1) > 4_000_000:
+                break
+            n, m, upto = n1, m1, upto + 1
+        chunk = order[k:upto]
+        item = np.full((len(chunk), n), -3, dtype=np.int32)
+        doc = np.full((len(chunk), m), -4, dtype=np.int32)
+        for r, c in enumerate(chunk):
+            item[r, : len(pairs[c][0])], doc[r, : len(pairs[c][1])] = pairs[c]
+        for r, place in _align_table(item, doc, s):
+            out[chunk[r]] = place[: len(pairs[chunk[r]][0])]
+        k = upto
+    return out
 
-@dataclass
-class Pairs:
-    """Neighbouring words of the items: sorted pair codes, and the items of each."""
 
-    size: int
-    codes: np.ndarray
-    first: np.ndarray
-    owner: np.ndarray
-    texts: np.ndarray
-    words: dict[int, list[int]]
+def least_score(s: Settings) -> float:
+    """What the alignment of a loose stretch scores at least: its words in place, less half a word for each other one."""
+    lost = s.stretch - int(np.ceil(s.loose * s.stretch - 1e-9))
+    return s.stretch - 1.5 * lost - 0.5 * (int(1.4 * s.stretch + 3) - s.stretch)
 
-    @classmethod
-    def of(cls, items: Items, shortest: int) -> Pairs:
-        size = len(items.vocabulary)
-        texts = [k for k, t in enumerate(items.texts) if len(t) >= shortest]
-        code = [np.unique(items.texts[k][:-1].astype(np.int64) * size + items.texts[k][1:]) for k in texts]
-        all_codes = np.concatenate(code or [np.zeros(0, np.int64)])
-        owner = np.repeat(np.array(texts, dtype=np.int64), [len(c) for c in code])
-        order = np.argsort(all_codes, kind="stable")
-        codes, first = np.unique(all_codes[order], return_index=True)
-        return cls(size, codes, np.append(first, len(order)), owner[order], np.array(texts, dtype=np.int64), {k: items.texts[k].tolist() for k in texts})
-
-    def near(self, doc: np.ndarray, pairs: int, width: int) -> dict[int, np.ndarray]:
-        """The items with at least ``pairs`` places within ``width`` words of the document, and the first places of those."""
-        if pairs < 1:
-            return {int(k): np.arange(len(doc)) for k in self.texts}
-        ids, keys = doc.astype(np.int64), []
-        for apart in range(1, PAIR_REACH + 1):
-            a, b = ids[:-apart], ids[apart:]
-            code = np.where((a >= 0) & (b >= 0), a * self.size + b, -1)
-            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-            place = np.flatnonzero(self.codes[at] == code)
-            n = self.first[at[place] + 1] - self.first[at[place]]
-            start = np.repeat(self.first[at[place]] - (np.cumsum(n) - n), n)
-            keys.append(self.owner[start + np.arange(n.sum())] * len(ids) + np.repeat(place, n))
-        key = np.unique(np.concatenate(keys))
-        if len(key) < pairs:
-            return {}
-        k, last = key[: len(key) - pairs + 1], key[pairs - 1 :]
-        k = k[(k // len(ids) == last // len(ids)) & (last - k < width)]
-        item, place = k // len(ids), k % len(ids)
-        cut = np.flatnonzero(np.diff(item)) + 1
-        out = {}
-        for i, p in zip(np.split(item, cut), np.split(place, cut)):
-            if len(i) and len(p := self.chained(int(i[0]), doc, p, pairs, width)):
-                out[int(i[0])] = p
-        return out
 
-    def chained(self, k: int, doc: np.ndarray, places: np.ndarray, pairs: int, width: int) -> np.ndarray:
-        """The places from which ``pairs`` pairs follow each other in the item too: those of a stretch stand in its order."""
-        text = self.words[k]
-        where: dict[tuple, list[int]] = {}
-        for q in range(len(text) - 1):
-            where.setdefault((text[q], text[q + 1]), []).append(q)
-        # No pair of a window that is wide enough starts before the first place or ends after the last one's width.
-        lo, hi = int(places[0]), int(places[-1]) + width
-        near = doc[lo : hi + PAIR_REACH].tolist()
-        at = [sorted({q for x in near[p + 1 : p + 1 + PAIR_REACH] for q in where.get((near[p], x), ())}) for p in range(min(len(near), hi - lo))]
-        some = [p for p, q in enumerate(at) if q]
-        kept = []
-        for first in (places - lo).tolist():
-            ends: list[int] = []  # the least item position at which a chain of each length ends
-            for p in some[bisect.bisect_left(some, first) : bisect.bisect_left(some, first + width)]:
-                for q in reversed(at[p]):
-                    slot = bisect.bisect_left(ends, q)
-                    ends[slot : slot + 1] = [q]
-            if len(ends) >= pairs:
-                kept.append(first + lo)
-        return np.array(kept, dtype=np.int64)
-
-
-def _window_sums(x: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    total = np.concatenate([np.zeros((1, *x.shape[1:]), dtype=np.float64), np.cumsum(x, axis=0, dtype=np.float64)])
-    return total[ends] - total[starts]
-
-
-def aligned(item: np.ndarray, doc: np.ndarray, s: Settings) -> tuple[int, float]:
-    """The longest stretch of ``item`` that ``doc`` contains and the share of its words in place; (0, 0.0) without one.
-
-    A local alignment (match 1, replaced or skipped word -0.5) gives the longest common subsequence with few gaps; a
-    stretch counts if at least ``agree`` of its words are matched, in a part of the document that is hardly longer.
-    """
-    n, m = len(item), len(doc)
-    best, at = 0.0, (0, 0)
-    score = np.zeros((n + 1, m + 1), dtype=np.float32)
-    equal = item[:, None] == doc[None, :]
+def _align_table(item: np.ndarray, doc: np.ndarray, s: Settings) -> Iterator[tuple[int, np.ndarray]]:
+    n, m = item.shape[1], doc.shape[1]
+    score = np.zeros((len(item), n + 1, m + 1), dtype=np.float32)
     ramp = 0.5 * np.arange(m + 1, dtype=np.float32)
     for i in range(1, n + 1):
-        row = np.maximum(score[i - 1, :-1] + np.where(equal[i - 1], 1.0, -0.5), score[i - 1, 1:] - 0.5)
-        row = np.concatenate([[0.0], np.maximum(row, 0.0)])
+        row = np.maximum(score[:, i - 1, :-1] + np.where(item[:, i - 1, None] == doc, np.float32(1.0), np.float32(-0.5)), score[:, i - 1, 1:] - np.float32(0.5))
+        np.maximum(row, 0, out=score[:, i, 1:])
         # A word of the document that is passed over costs 0.5: a running maximum does the whole row.
-        score[i] = np.maximum.accumulate(row + ramp) - ramp
-        top = int(score[i].argmax())
-        if score[i, top] > best:
-            best, at = float(score[i, top]), (i, top)
-    # A stretch has at least ``agree`` of its words in place; the others and the words between cost 0.5 each.
-    if best < (1.5 * s.agree - 0.5 - 0.5 * (1.4 - s.agree)) * s.stretch - 1.5 - 1e-6:
-        return 0, 0.0
-    place = np.full(n, -1)
-    i, j = at
-    while i > 0 and j > 0 and score[i, j] > 0:
-        if equal[i - 1, j - 1] and abs(score[i, j] - score[i - 1, j - 1] - 1.0) < 1e-4:
-            place[i - 1] = j - 1
-            i, j = i - 1, j - 1
-        elif abs(score[i, j] - score[i - 1, j - 1] + 0.5) < 1e-4:
-            i, j = i - 1, j - 1
-        elif abs(score[i, j] - score[i - 1, j] + 0.5) < 1e-4:
-            i -= 1
-        else:
-            j -= 1
-    got = _stretch(place, s)
-    if not got[0]:
-        # An end such as one word in place before three replaced ones is worth nothing to the score, yet belongs to a stretch.
-        w = s.stretch // 2
-        _fill(place, equal[max(0, i - w) : i, max(0, j - 2 * w) : j], max(0, i - w), max(0, j - 2 * w))
-        _fill(place, equal[at[0] : at[0] + w, at[1] : at[1] + 2 * w][::-1, ::-1], at[0] + w - 1, at[1] + 2 * w - 1, n, m)
-        got = _stretch(place, s)
-    return got
-
-
-def _fill(place: np.ndarray, equal: np.ndarray, i: int, j: int, n: int = 0, m: int = 0) -> None:
-    """Puts a longest common subsequence of a small rectangle into ``place``; with ``n`` and ``m`` it is laid out backwards."""
+        np.maximum.accumulate(score[:, i] + ramp, axis=1, out=score[:, i])
+        score[:, i] -= ramp
+    flat = score.reshape(len(item), -1)
+    top = flat.argmax(axis=1)
+    rows = np.flatnonzero(flat[np.arange(len(item)), top] >= max(least_score(s), s.stretch * s.loose / 2) - 1e-6)
+    i, j = top[rows] // (m + 1), top[rows] % (m + 1)
+    end_i, end_j = i.copy(), j.copy()
+    place = np.full((len(rows), n), -1)
+    live = np.arange(len(rows))
+    while True:
+        live = live[(i[live] > 0) & (j[live] > 0)]
+        live = live[score[rows[live], i[live], j[live]] > 0]
+        if not len(live):
+            break
+        r, a, b = rows[live], i[live], j[live]
+        here = score[r, a, b]
+        over = here - score[r, a - 1, b - 1]
+        hit = (item[r, a - 1] == doc[r, b - 1]) & (np.abs(over - 1.0) < 1e-4)
+        swap = ~hit & (np.abs(over + 0.5) < 1e-4)
+        up = ~hit & ~swap & (np.abs(here - score[r, a - 1, b] + 0.5) < 1e-4)
+        place[live[hit], a[hit] - 1] = b[hit] - 1
+        i[live] -= hit | swap | up
+        j[live] -= ~up
+    w = s.stretch // 2
+    for k, r in enumerate(rows):
+        own = place[k]
+        if not _stretch(own, s.agree, s)[0]:
+            # An end such as one word in place before three replaced ones is worth nothing to the score, yet belongs to a stretch.
+            equal = lambda x, y: item[r, x[0] : x[1], None] == doc[r, None, y[0] : y[1]]  # noqa: B023, E731
+            _fill(own, equal((max(0, i[k] - w), i[k]), (max(0, j[k] - 2 * w), j[k])), max(0, i[k] - w), max(0, j[k] - 2 * w))
+            a, b = min(end_i[k] + w, n), min(end_j[k] + 2 * w, m)
+            _fill(own, equal((end_i[k], a), (end_j[k], b))[::-1, ::-1], a - 1, b - 1, True)
+        yield int(r), own
+
+
+def _fill(place: np.ndarray, equal: np.ndarray, i: int, j: int, backwards: bool = False) -> None:
+    """Puts a longest common subsequence of a small rectangle that starts at (i, j) into ``place``; backwards, it ends there."""
     rows, columns = equal.shape
     longest = np.zeros((rows + 1, columns + 1), dtype=int)
     for a in range(rows):
@@ -345,8 +376,8 @@ def _fill(place: np.ndarray, equal: np.ndarray, i: int, j: int, n: int = 0, m: i
     while a and b:
         if equal[a - 1, b - 1]:
             a, b = a - 1, b - 1
-            if n:
-                place[min(i, n - 1) - a] = min(j, m - 1) - b
+            if backwards:
+                place[i - a] = j - b
             else:
                 place[i + a] = j + b
         elif longest[a - 1, b] >= longest[a, b - 1]:
@@ -355,134 +386,94 @@ def _fill(place: np.ndarray, equal: np.ndarray, i: int, j: int, n: int = 0, m: i
             b -= 1
 
 
-def _stretch(place: np.ndarray, s: Settings) -> tuple[int, float]:
-    """The longest stretch of an item of which enough words have a place in the document, and their share."""
+def _stretch(place: np.ndarray, agree: float, s: Settings) -> tuple[int, float]:
+    """The longest stretch of an item of which enough words have a place in the document, and their share; (0, 0.0) without one.
+
+    The part of the document may hardly be longer than the stretch.
+    """
     n = len(place)
+    if (place >= 0).sum() < agree * s.stretch - 1e-9:
+        return 0, 0.0
     hit = np.concatenate([[0], np.cumsum(place >= 0)])
-    found = (0, 0.0)
-    lo = np.arange(n)
-    for length in range(n, s.stretch - 1, -1):
-        first = lo[: n - length + 1]
-        share = (hit[first + length] - hit[first]) / length
-        for a in first[share >= s.agree - 1e-9]:
-            inside = place[a : a + length]
-            inside = inside[inside >= 0]
-            if inside[-1] - inside[0] + 1 <= 1.4 * length + 3:
-                return length, float(share[a])
-    return found
+    a, b = np.triu_indices(n + 1, s.stretch)
+    share = (hit[b] - hit[a]) / (b - a)
+    fine = share >= agree - 1e-9
+    a, b, share = a[fine], b[fine], share[fine]
+    for k in np.argsort(a - b, kind="stable"):
+        inside = place[a[k] : b[k]]
+        inside = inside[inside >= 0]
+        if inside[-1] - inside[0] + 1 <= 1.4 * (b[k] - a[k]) + 3:
+            return int(b[k] - a[k]), float(share[k])
+    return 0, 0.0
 
 
 def search(docs: DataFrame, items: Items, weights: np.ndarray, outside: float, vectors: np.ndarray, s: Settings) -> DataFrame:
-    """(doc_id, item_id, stretch, share, answer_found) of the candidates that pass the alignment."""
-    owner, rows = [], []
-    embed = vectors * weights[:, None]
-    for k, t in enumerate(items.texts):
-        if len(t) >= s.stretch:
-            starts = np.unique(np.concatenate([np.arange(0, max(1, len(t) - s.window + 1), s.item_step), [max(0, len(t) - s.window)]]))
-            ends = np.minimum(starts + s.window, len(t))
-            full = np.sqrt(_window_sums(weights[t] ** 2, starts, ends))
-            rows.append(_window_sums(embed[t], starts, ends) / np.maximum(full, 1e-9)[:, None])
-            owner += [k] * len(starts)
-    bank = np.concatenate(rows).astype(np.float32) if rows else np.zeros((0, vectors.shape[1]), np.float32)
-    owner = np.array(owner)
-    need = int(np.ceil(s.agree * s.stretch))
-    pairs = Pairs.of(items, s.stretch)
-    fewest, width = pair_bound(s, max((len(t) for t in items.texts), default=0))
+    """(doc_id, item_id, kind, stretch, share, answer_found) of the candidates that pass the alignment."""
+    texts = [t if len(t) >= s.stretch else t[:0] for t in items.texts]
     vocabulary = items.vocabulary
     answers = [[vocabulary.get(w, -2) for w in a] for a in items.answers]
-
-    def candidates(flat: np.ndarray, bounds: np.ndarray) -> dict[int, set[int]]:
-        """Windows of some documents laid end to end -> the items near them, by document."""
-        w = np.where(flat >= 0, weights[flat], outside).astype(np.float64)
-        starts, doc = [], []
-        for k in range(len(bounds) - 1):
-            a, b = bounds[k], bounds[k + 1]
-            if b - a >= need:
-                own = np.unique(np.concatenate([np.arange(a, max(a + 1, b - s.window + 1), s.step), [max(a, b - s.window)]]))
-                starts.append(own)
-                doc.append(np.full(len(own), k))
-        if not starts:
-            return {}
-        starts, doc = np.concatenate(starts), np.concatenate(doc)
-        ends = np.minimum(starts + s.window, bounds[doc + 1])
-        full = _window_sums(w**2, starts, ends)
-        inside = _window_sums(np.where(flat >= 0, w**2, 0), starts, ends)
-        keep = inside >= s.cosine**2 * full
-        starts, ends, doc, full = starts[keep], ends[keep], doc[keep], full[keep]
-        near: dict[int, set[int]] = {}
-        for k in range(0, len(starts), 4096):
-            a, b, d = starts[k : k + 4096], ends[k : k + 4096], doc[k : k + 4096]
-            at = a[:, None] + np.arange(s.window)
-            ids = np.where(at < b[:, None], flat[np.minimum(at, len(flat) - 1)], -1)
-            got = np.where((ids >= 0)[..., None], embed[ids], 0).sum(axis=1) / np.sqrt(full[k : k + 4096])[:, None]
-            some = np.einsum("ij,ij->i", got, got) >= s.cosine**2
-            if some.any():
-                x, y = np.nonzero(got[some].astype(np.float32) @ bank.T >= s.cosine)
-                for p, i in set(zip(d[some][x].tolist(), owner[y].tolist())):
-                    near.setdefault(p, set()).add(i)
-        return near
+    owner, _, ids = _windows(np.concatenate(texts), np.concatenate([[0], np.cumsum([len(t) for t in texts])]), s.window, s.item_step)
+    margin = int(1.4 * s.stretch + 3) + 1
+    shape = "doc_id long, item_id long, kind string, stretch int, share double, answer_found boolean"
+
+    def found(names: list, bodies: list[np.ndarray], bank: Bank) -> list[tuple]:
+        bounds = np.concatenate([[0], np.cumsum([len(t) for t in bodies])])
+        doc, start, got = _windows(np.concatenate(bodies), bounds, s.window, s.step, s.inside)
+        if not len(doc):
+            return []
+        x, y, _ = Bank(got, weights, outside, vectors).near(bank, s.cosine)
+        code = np.unique((doc[x] * len(texts) + owner[y]) * (int(bounds[-1]) + 1) + start[x] - bounds[doc[x]])
+        pair, at = code // (int(bounds[-1]) + 1), code % (int(bounds[-1]) + 1)
+        cut = np.flatnonzero(np.diff(pair)) + 1
+        which, pieces = [], []
+        for p, places in zip(pair[np.concatenate([[0], cut])] if len(pair) else [], np.split(at, cut)):
+            d, i = int(p) // len(texts), int(p) % len(texts)
+            for piece in _runs(bodies[d], texts[i], places, s.window, margin):
+                which.append((d, i))
+                pieces.append((texts[i], piece))
+        best: dict[tuple, tuple] = {}
+        for (d, i), (_, piece), place in zip(which, pieces, align(pieces, s)):
+            if place is None:
+                continue
+            answered = _contains(piece, answers[i])
+            length, share = _stretch(place, s.agree, s)
+            kind = "stretch"
+            if not length and answered:
+                kind, (length, share) = "paraphrase", _stretch(place, s.loose, s)
+            key = (names[d], items.ids[i])
+            if length and (kind == "stretch", length) > (best.get(key, ("",))[0] == "stretch", best.get(key, ("", 0))[1]):
+                best[key] = (kind, length, share, answered)
+        return [(*k, *v) for k, v in best.items()]
 
     def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        bank = Bank(ids, weights, outside, vectors)
         for b in batches:
-            out = []
-            texts, ids = list(b.ids), list(b.doc_id)
-            k = 0
-            while k < len(texts):
+            out, k = [], 0
+            bodies, names = list(b.ids), list(b.doc_id)
+            while k < len(bodies):
                 upto, n = k, 0
-                while upto < len(texts) and (upto == k or n + len(texts[upto]) <= s.batch_words):
-                    n += len(texts[upto])
+                while upto < len(bodies) and (upto == k or n + len(bodies[upto]) <= s.batch_words):
+                    n += len(bodies[upto])
                     upto += 1
-                bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts[k:upto]])])
-                latent = candidates(np.concatenate(texts[k:upto]), bounds)
-                for p in range(upto - k):
-                    doc = np.asarray(texts[k + p])
-                    paired = pairs.near(doc, fewest, width) if len(doc) >= need else {}
-                    best: dict[int, tuple] = {}
-                    for i in sorted(latent.get(p, set()) | paired.keys()):
-                        # Only runs of the document that hold words of this item can align with it.
-                        for piece in _pieces(doc, items.texts[i], need) + _around(doc, items.texts[i], paired.get(i, ()), width):
-                            length, share = aligned(items.texts[i], piece, s)
-                            if length > best.get(items.ids[i], (0,))[0]:
-                                best[items.ids[i]] = (length, share, _contains(piece, answers[i]))
-                    out += [(ids[k + p], item, *b) for item, b in best.items()]
+                out += found(names[k:upto], bodies[k:upto], bank)
                 k = upto
-            yield pd.DataFrame(out, columns=["doc_id", "item_id", "stretch", "share", "answer_found"])
+            yield pd.DataFrame(out, columns=["doc_id", "item_id", "kind", "stretch", "share", "answer_found"])
 
-    if not len(bank):
-        return docs.select("doc_id", F.lit(0).cast("long").alias("item_id"), F.lit(0).alias("stretch"), F.lit(0.0).alias("share"), F.lit(False).alias("answer_found")).where("false")
-    return docs.mapInPandas(part, "doc_id long, item_id long, stretch int, share double, answer_found boolean")
+    if not len(ids):
+        return docs.sparkSession.createDataFrame([], shape)
+    return docs.mapInPandas(part, shape)
 
 
-def _pieces(doc: np.ndarray, item: np.ndarray, need: int) -> list[np.ndarray]:
-    """Runs of the document around places where the words of the item are dense enough for a stretch to lie there.
+def _runs(doc: np.ndarray, item: np.ndarray, places: np.ndarray, reach: int, margin: int) -> list[np.ndarray]:
+    """The document from ``margin`` words before each place to ``margin`` after its ``reach``; near ones are one run.
 
-    A stretch has ``need`` words of the item within few more positions, so places with fewer can't be part of one. Pieces
-    are bounded by the item's length, however long the document is.
+    A long run is cut into overlapping pieces, each wide enough for any stretch of the item.
     """
-    mine = np.isin(doc, item).astype(np.int64)
-    reach = 2 * need
-    total = np.concatenate([[0], np.cumsum(mine)])
-    dense = np.flatnonzero(total[np.minimum(np.arange(len(doc)) + reach, len(doc))] - total[:-1] >= need)
-    return _runs(doc, item, dense, reach, 5)
-
-
-def _around(doc: np.ndarray, item: np.ndarray, places: np.ndarray, width: int) -> list[np.ndarray]:
-    """Runs of the document around windows with enough pairs, wide enough for the longest stretch through each."""
-    return _runs(doc, item, places, width, int(1.4 * len(item)) + 4)
-
-
-def _runs(doc: np.ndarray, item: np.ndarray, places: np.ndarray, reach: int, margin: int) -> list[np.ndarray]:
-    """The document from ``margin`` words before each place to ``margin`` after its ``reach``; near ones are one run."""
-    out, k = [], 0
-    while k < len(places):
-        a = b = places[k]
-        while k < len(places) and places[k] <= b + reach:
-            b = places[k]
-            k += 1
-        first, last = max(0, a - margin), b + reach + margin
-        # A long run is cut into overlapping pieces, each wide enough for any stretch of the item.
-        width = 2 * len(item) + 60
-        out += [doc[k : min(k + 2 * width, last)] for k in range(first, max(first + 1, min(last, len(doc)) - width), width)]
+    out = []
+    width = 2 * len(item) + 60
+    for run in np.split(places, np.flatnonzero(np.diff(places) > reach) + 1):
+        first, last = max(0, int(run[0]) - margin), min(len(doc), int(run[-1]) + reach + margin)
+        out += [doc[k : min(k + 2 * width, last)] for k in range(first, max(first + 1, last - width), width)]
     return out
 
 
@@ -493,7 +484,8 @@ def _contains(piece: np.ndarray, answer: list[int]) -> bool:
 
 
 def leaks(documents: DataFrame, items: DataFrame, s: Settings = Settings()) -> DataFrame:
-    """(doc_id, item_id, stretch, share, answer_found): documents that contain a stretch of an item's text.
+    """(doc_id, item_id, kind, stretch, share, answer_found): documents that contain a stretch of an item's text, or its answer
+    amid a passage that agrees loosely with it (``kind`` paraphrase).
 
     Null and empty texts, and items of fewer than ``stretch`` words, have no leak. A document with several items has one
     row for each. Copies of a document are reported each. Items are read in blocks of ``block`` by id, each block one
@@ -505,6 +497,9 @@ def leaks(documents: DataFrame, items: DataFrame, s: Settings = Settings()) -> D
     kept = items.where("text is not null and item_id is not null").select("item_id", "text", F.coalesce("answer", F.lit("")).alias("answer"))
     blocks = max(1, -(-count // s.block))
     found = None
+    if blocks > 1:  # words are cut once, not once per block
+        plain_text = F.pandas_udf(lambda t: t.map(plain), "string")
+        documents = materialise(documents.select("doc_id", plain_text("text").alias("text")), "plain")
     for k in range(blocks):
         mine = kept if blocks == 1 else kept.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
         block = Items.of(mine.orderBy("item_id").collect())
@@ -516,5 +511,5 @@ def leaks(documents: DataFrame, items: DataFrame, s: Settings = Settings()) -> D
         part = search(docs, block, weights, outside, vectors, s)
         found = part if found is None else found.unionByName(part)
     if found is None:
-        return documents.sparkSession.createDataFrame([], "doc_id long, item_id long, stretch int, share double, answer_found boolean")
+        return documents.sparkSession.createDataFrame([], "doc_id long, item_id long, kind string, stretch int, share double, answer_found boolean")
     return found

@@ -26,13 +26,13 @@ def p7_leaks(spark, d):
 
 
 def p7_found(spark, d):
-    return p7_leaks(spark, d).select("doc_id", "item_id").distinct()
+    return p7_leaks(spark, d).where("kind = 'stretch'").select("doc_id", "item_id")
 
 
 def p7_items(spark, d):
-    """Every item with the number of documents that contain it."""
-    found = p7_leaks(spark, d).groupBy("item_id").agg(F.countDistinct("doc_id").alias("n_docs"))
-    return table(spark, d, "eval_items").select("item_id", "task", "split").join(found, "item_id", "left").fillna(0, ["n_docs"])
+    """Every item with the number of documents that contain it and of those that paraphrase it."""
+    found = p7_leaks(spark, d).groupBy("item_id").agg(F.count_if(F.col("kind") == "stretch").alias("n_docs"), F.count_if(F.col("kind") == "paraphrase").alias("n_paraphrased"))
+    return table(spark, d, "eval_items").select("item_id", "task", "split").join(found, "item_id", "left").fillna(0, ["n_docs", "n_paraphrased"])
 
 
 def p8_mix(spark, d):
