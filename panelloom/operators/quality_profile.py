@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
 from panelloom.operators.ranking import median_of_others
-from panelloom.runtime import pick
+from panelloom.runtime import materialise, pick, scratch
+from panelloom.sources.versions import Versions
 
 COLUMN_NAME_RE = "^[A-Z][A-Z0-9_]*$"
 COUNTS = ["non_empty_tokens", "parsed_numeric_tokens", "failed_parse_tokens"]
@@ -72,37 +73,92 @@ def drift(counts: DataFrame, order: str = "bigint") -> DataFrame:
     return cells.groupBy(F.col("at").alias("load"), "column").agg(F.round(F.sum(F.abs("d")) / 2, 9).alias("distance"))
 
 
+ENTRY = ["run_id", "column", "year", *COUNTS]
+ENTRIES = "run_id long, column string, year int, non_empty_tokens long, parsed_numeric_tokens long, failed_parse_tokens long, n long"
+#: Groups of more entries than this have their medians placed by distributed ranks instead of sorted arrays; both are exact.
+SMALL_GROUP = 5_000
+
+
 def report_counts(report: DataFrame, sign: int = 1) -> DataFrame:
-    """Value-count entries of a cast report: how often a (run, column, year, counts) tuple stands there."""
-    return report.groupBy("run_id", "column", "year", *COUNTS).agg((F.count(F.lit(1)) * sign).alias("n"))
+    """The signed delta of cast-report rows: how often a (run, column, year, counts) entry stands there, nulls included."""
+    return pick(report, *ENTRY).groupBy(*ENTRY).agg((F.count(F.lit(1)) * sign).alias("n"))
 
 
-def report_issues(report: DataFrame, failure_step: float = 0.10) -> DataFrame:
-    """(report_id, issue) of a cast report; a row can have several issues and every repeated row is reported.
+def apply_report_delta(counts: DataFrame, delta: DataFrame) -> DataFrame:
+    """The maintained entries after a signed delta; entries that cancel are dropped."""
+    return counts.unionByName(delta).groupBy(*ENTRY).agg(F.sum("n").cast("bigint").alias("n")).where("n <> 0")
+
+
+def _median(values: Column) -> Column:
+    """Of a sorted array; null for an empty one."""
+    n = F.size(values)
+    return F.when(n > 0, (F.try_element_at(values, F.floor((n + 1) / 2).cast("int")) + F.try_element_at(values, F.floor(n / 2).cast("int") + 1)) / 2)
 
-    Row issues: ``count_missing``, ``counts_disagree``, ``bad_column_name``. Sound rows (no count issue, a column) enter
-    the value-count table of their run and column, in which repeats are one entry with a count; ``volume_shift`` and
-    ``failure_shift`` compare a row with the exact medians over the entries of other years. A row whose run and column
-    have no other year has neither. Null run ids or years never have a shift. An empty report gives no issue.
+
+def _small_shifts(entries: DataFrame, failure_step: float) -> DataFrame:
+    """Entries of groups of bounded size with their shifts: one sorted array per group, filtered by year."""
+    cells = F.collect_list(F.struct("year", *COUNTS, "share"))
+    groups = entries.groupBy("run_id", "column").agg(cells.alias("e"))
+    by = lambda c: F.array_sort(F.transform(F.filter("e", lambda x: x[c].isNotNull()), lambda x: F.struct(x[c].alias("v"), x["year"].alias("y"))))
+    groups = groups.select("run_id", "column", "e", by(COUNTS[0]).alias("a"), by("share").alias("b"), F.array_distinct(F.transform("e", lambda x: x["year"])).alias("years"))
+    others = lambda c, y: F.transform(F.filter(c, lambda x: x["y"] != y), lambda x: x["v"])
+    usual = F.map_from_arrays("years", F.transform("years", lambda y: F.struct(_median(others("a", y)).alias("n"), _median(others("b", y)).alias("s"))))
+    groups = groups.where("size(years) > 1").select("run_id", "column", "e", usual.alias("usual"))
+    rows = groups.select("run_id", "column", F.explode("e").alias("x"), "usual").select("run_id", "column", "x.*", F.col("usual")[F.col("x.year")].alias("u"))
+    return _shifts(rows.select("run_id", "column", "year", *COUNTS, "share", F.col("u.n").alias("usual_n"), F.col("u.s").alias("usual_share")), failure_step)
+
+
+def _large_shifts(entries: DataFrame, failure_step: float) -> DataFrame:
+    """The same for groups of any size, by ranks over range-sorted partitions."""
+    group = ["run_id", "column"]
+    volume = median_of_others(entries, group, "year", COUNTS[0], COUNTS[1:]).withColumnRenamed("median", "usual_n")
+    failure = median_of_others(entries, group, "year", "share", COUNTS).withColumnRenamed("median", "usual_share")
+    usual = volume.join(failure, [*group, "year"], "full_outer")
+    return _shifts(entries.join(usual, [*group, "year"]).select(*group, "year", *COUNTS, "share", "usual_n", "usual_share"), failure_step)
+
+
+def _shifts(rows: DataFrame, failure_step: float) -> DataFrame:
+    n = F.col(COUNTS[0])
+    volume = (n < F.col("usual_n") / 2) | (n > F.col("usual_n") * 2)
+    failure = F.round(F.col("share") - F.col("usual_share"), 9) >= failure_step
+    issues = F.array_compact(F.array(F.when(volume, F.lit("volume_shift")), F.when(failure, F.lit("failure_shift"))))
+    return rows.select(*ENTRY, issues.alias("issues")).where("size(issues) > 0")
+
+
+def entry_issues(counts: DataFrame, failure_step: float = 0.10, small: int = SMALL_GROUP) -> DataFrame:
+    """(run, column, year, counts, issues) of the maintained entries that have an issue.
+
+    Entry issues: ``count_missing``, ``counts_disagree``, ``bad_column_name``. Sound entries (no count issue, a column) are
+    compared with the exact medians over the entries of other years of their run and column: ``volume_shift``,
+    ``failure_shift``. As entries hold repeats as a number, repeats weigh once. Null run ids or years never have a shift.
     """
-    report = pick(report, "report_id", "run_id", "year", "column", *COUNTS)
     n, ok, bad = (F.col(c) for c in COUNTS)
     missing = n.isNull() | ok.isNull() | bad.isNull()
     wrong = ~missing & ((F.least(*COUNTS) < 0) | (ok + bad != n))
     name = F.col("column").isNull() | ~F.col("column").rlike(COLUMN_NAME_RE) | F.col("column").contains("\n")
     flags = F.array(F.when(missing, F.lit("count_missing")), F.when(wrong, F.lit("counts_disagree")), F.when(name, F.lit("bad_column_name")))
-    rows = report.select("report_id", F.explode(F.array_compact(flags)).alias("issue"))
+    here = counts.where("n > 0")
+    own = here.select(*ENTRY, F.array_compact(flags).alias("issues")).where("size(issues) > 0")
+    sound = here.where(~missing & ~F.coalesce(wrong, F.lit(False)) & F.col("column").isNotNull() & F.col("run_id").isNotNull() & F.col("year").isNotNull())
+    sound = sound.select(*ENTRY, F.when(n > 0, bad / n).alias("share"))
+    hot = materialise(sound.groupBy("run_id", "column").agg(F.count(F.lit(1)).alias("m")).where(F.col("m") > small).drop("m"), "hot")
+    if hot.isEmpty():
+        return own.unionByName(_small_shifts(sound, failure_step))
+    few = sound.join(hot, ["run_id", "column"], "left_anti")
+    many = sound.join(hot, ["run_id", "column"], "left_semi")
+    return own.unionByName(_small_shifts(few, failure_step)).unionByName(_large_shifts(many, failure_step))
+
+
+def report_issues(report: DataFrame, store: Versions | None = None, failure_step: float = 0.10, small: int = SMALL_GROUP) -> DataFrame:
+    """(report_id, issue) of a cast report; a row can have several issues and every repeated row is reported.
 
-    sound = report.where(~missing & ~F.coalesce(wrong, F.lit(False)) & F.col("column").isNotNull())
-    counts = report_counts(sound).where("n > 0").withColumn("share", F.when(n > 0, bad / n))
-    group = ["run_id", "column"]
-    volume = median_of_others(counts, group, "year", COUNTS[0], COUNTS[1:]).withColumnRenamed("median", "usual_n")
-    failure = median_of_others(counts, group, "year", "share", COUNTS).withColumnRenamed("median", "usual_share")
-    usual = volume.join(failure, [*group, "year"], "full_outer")
-    tried = counts.join(usual, [*group, "year"]).select(
-        *group, "year", *COUNTS,
-        ((n < F.col("usual_n") / 2) | (n > F.col("usual_n") * 2)).alias("volume"),
-        (F.round(F.col("share") - F.col("usual_share"), 9) >= failure_step).alias("failure"),
-    ).where("volume or failure")
-    shifts = F.array_compact(F.array(F.when(F.col("volume"), F.lit("volume_shift")), F.when(F.col("failure"), F.lit("failure_shift"))))
-    return rows.unionByName(sound.join(tried, [*group, "year", *COUNTS]).select("report_id", F.explode(shifts).alias("issue")))
+    The report is a load: its signed delta is applied to the persistent entries of ``store`` (a fresh one by default), and
+    the issues come from what the store then holds, earlier loads included. Rows get the issues of their entry, joined
+    null-safe. An empty report gives no issue.
+    """
+    report = pick(report, "report_id", *ENTRY)
+    store = store or Versions(report.sparkSession, scratch(report.sparkSession, "cast-counts"), ENTRIES)
+    counts = store.advance(lambda c: apply_report_delta(c, report_counts(report)))
+    found = entry_issues(counts, failure_step, small).select(*[F.col(c).alias(f"_{c}") for c in ENTRY], "issues")
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ENTRY]
+    return report.join(found, same).select("report_id", F.explode("issues").alias("issue"))

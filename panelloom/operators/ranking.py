@@ -6,6 +6,8 @@ so a hot group is spread over many tasks, and only one small row per (partition,
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,33 +49,48 @@ def running_totals(df: DataFrame, group: list[str], order: list[str], weight: Co
     )
 
 
-def median_of_others(entries: DataFrame, group: list[str], part: str, value: str, tiebreak: list[str]) -> DataFrame:
+def _alike(columns: list[str], prefix: str) -> Column:
+    """Null-safe equality of columns with their prefixed copies."""
+    return reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(prefix + c)) for c in columns])
+
+
+#: Neighbouring positions that are looked at together when a median is placed.
+BLOCK = 1024
+
+
+def median_of_others(entries: DataFrame, group: list[str], part: str, value: str, tiebreak: list[str], block: int = BLOCK) -> DataFrame:
     """For each (group, part): the exact median of ``value`` over the rows of the group in *other* parts.
 
-    Rows are ranked once; of m own rows among n, the median of the rest lies within m places of a known position, so
-    each part looks at no more than m + 2 rows: linear in all, with no pairing of rows within a group. Parts without
-    other rows are left out. Null values are ignored.
+    Rows are ranked once over range-sorted partitions. Own rows are counted per block of positions, which tells in which
+    block the wanted place of the others lies, and only that block is looked at: a part reads one or two blocks, however
+    many rows it or its group has, and no row is paired with another. Meant for parts of many rows (years of a hot group).
+    Parts without other rows are left out. Null values are ignored.
     """
     ranked = running_totals(entries.where(F.col(value).isNotNull()), group, [value, part, *tiebreak])
-    ranked = materialise(ranked.select(*group, part, value, "position"), "positions")
-    own = ranked.groupBy(*group, part).agg(F.count(F.lit(1)).alias("m"))
-    size = own.groupBy(*group).agg(F.sum("m").alias("n"))
-    goals = own.join(size, group).where("n > m").withColumns(
-        {"k1": F.expr("(n - m + 1) div 2"), "k2": F.expr("(n - m + 2) div 2")}
-    )
-    seen = goals.select(*group, F.col(part).alias("_for"), "k1", "k2", F.explode(F.sequence(F.col("k1"), F.col("k2") + F.col("m"))).alias("position"))
-    at = seen.join(ranked, [*group, "position"]).select(
-        *group, "_for", "position", value, "k1", "k2", (F.col(part) == F.col("_for")).alias("mine"), F.lit(False).alias("marker")
-    )
-    marks = ranked.select(
-        *group, F.col(part).alias("_for"), "position", F.lit(None).cast(ranked.schema[value].dataType).alias(value),
-        F.lit(None).cast("bigint").alias("k1"), F.lit(None).cast("bigint").alias("k2"), F.lit(True).alias("mine"), F.lit(True).alias("marker"),
+    ranked = materialise(ranked.select(*group, part, value, "position", ((F.col("position") - 1) / block).cast("bigint").alias("block")), "positions")
+    counts = ranked.groupBy(*group, part, "block").agg(F.count(F.lit(1)).alias("c"))
+    totals = counts.groupBy(*group, part).agg(F.sum("c").alias("m"))
+    size = totals.groupBy(*[F.col(c).alias(f"_s_{c}") for c in group]).agg(F.sum("m").alias("n"))
+    goals = totals.join(size, _alike(group, "_s_")).where("n > m").select(
+        *[F.col(c).alias(f"_g_{c}") for c in (*group, part)], F.explode(F.array(F.expr("(n - m + 1) div 2"), F.expr("(n - m + 2) div 2"))).alias("k")
+    ).distinct()
+    # Own rows up to the end of each block that holds some; block -1 stands for the start.
+    start = totals.select(*group, part, F.lit(-1).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("c"))
+    step = Window.partitionBy(*group, part).orderBy("block")
+    own = counts.unionByName(start).select(*group, part, "block", F.sum("c").over(step).alias("upto"), F.lead("block").over(step).alias("next"))
+    reach = F.greatest("block", F.ceil((F.col("k") + F.col("upto")) / block).cast("bigint") - 1)
+    places = own.join(goals, _alike([*group, part], "_g_")).select(*group, part, "k", "block", "upto", "next", reach.alias("at")).where("next is null or at < next")
+    target = places.groupBy(*group, part, "k").agg(F.min(F.struct("at", "block", "upto")).alias("t")).select(
+        *[F.col(c).alias(f"_{c}") for c in group], F.col(part).alias("_for"), "k", F.col("t.at").alias("_at")
     )
-    upto = Window.partitionBy(*group, "_for").orderBy("position").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    rest = (
-        at.unionByName(marks)
-        .withColumn("rank", F.col("position") - F.sum(F.col("marker").cast("int")).over(upto))
-        .where("not marker and not mine")
-    )
-    ends = rest.where("rank in (k1, k2)").groupBy(*group, F.col("_for").alias(part))
-    return ends.agg(((F.min(F.struct("rank", value))[value] + F.max(F.struct("rank", value))[value]) / 2).alias("median"))
+    before = own.select(*[F.col(c).alias(f"_o_{c}") for c in group], F.col(part).alias("_o_for"), F.col("block").alias("_b"), F.col("upto").alias("_u"), "next")
+    known = [F.col(f"_{c}").eqNullSafe(F.col(f"_o_{c}")) for c in group] + [F.col("_for").eqNullSafe(F.col("_o_for"))]
+    ahead = (F.col("_b") < F.col("_at")) & (F.col("next").isNull() | (F.col("next") >= F.col("_at")))
+    target = target.join(before, known).where(ahead).select(*[f"_{c}" for c in group], "_for", "k", "_at", "_u")
+    here = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in group] + [F.col("block") == F.col("_at")]
+    seen = ranked.join(target, here)
+    upto = Window.partitionBy(*group, "_for", "k").orderBy("position")
+    mine = F.col(part).eqNullSafe(F.col("_for"))
+    rank = F.col("position") - F.col("_u") - F.sum(mine.cast("int")).over(upto)
+    ends = seen.withColumns({"rank": rank, "mine": mine}).where("not mine and rank = k")
+    return ends.groupBy(*group, F.col("_for").alias(part)).agg(((F.min(value) + F.max(value)) / 2).alias("median"))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from panelloom.functions import sql as S
 from panelloom.operators import copies, drifting, eav, orphans, quality_profile
-from panelloom.runtime import materialise
+from panelloom.runtime import materialise, scratch
+from panelloom.sources.versions import Versions
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -93,11 +94,23 @@ def p4_found(spark, d):
     return quality_profile.report_issues(table(spark, d, "cast_report"))
 
 
+COUNTS = "load string, column string, value string, n long"
+
+
+def _p4_store(spark, *deltas: DataFrame) -> DataFrame:
+    """The persistent counts after some signed deltas, one version each."""
+    store = Versions(spark, scratch(spark, "value-counts"), COUNTS)
+    for delta in deltas:
+        counts = store.advance(lambda c: quality_profile.apply_delta(c, delta))  # noqa: B023
+    return counts
+
+
 def _p4_counts(spark, d):
     """Counts after two deltas per load: the rows of even and of odd report ids, as if they had come one after the other."""
     report = table(spark, d, "cast_report")
-    first = quality_profile.value_counts(report.where("report_id % 2 = 0"), F.col("run_id"), P4_COLUMNS)
-    return quality_profile.apply_delta(first, quality_profile.value_counts(report.where("report_id % 2 <> 0"), F.col("run_id"), P4_COLUMNS))
+    even = quality_profile.value_counts(report.where("report_id % 2 = 0"), F.col("run_id"), P4_COLUMNS)
+    odd = quality_profile.value_counts(report.where("report_id % 2 <> 0"), F.col("run_id"), P4_COLUMNS)
+    return _p4_store(spark, even, odd)
 
 
 def p4_profile(spark, d):
@@ -108,6 +121,17 @@ def p4_drift(spark, d):
     return quality_profile.drift(_p4_counts(spark, d))
 
 
+def p4_loads(spark, d):
+    """The profile after all loads, a correction (old counts out, new ones in) and the withdrawal of every third load."""
+    report = table(spark, d, "cast_report")
+    wrong = report.where("report_id % 5 = 0")
+    right = wrong.withColumns({"failed_parse_tokens": F.col("failed_parse_tokens") + 1, "column": F.upper("column")})
+    gone = report.where("report_id % 5 <> 0").unionByName(right).where("run_id % 3 = 0")
+    of = lambda rows, sign=1: quality_profile.value_counts(rows, F.col("run_id"), P4_COLUMNS, sign)
+    correction = of(wrong, -1).unionByName(of(right))
+    return quality_profile.metrics(_p4_store(spark, of(report), correction, of(gone, -1)), {"column": quality_profile.COLUMN_NAME_RE})
+
+
 P4_FOUND = """
 WITH r AS (SELECT report_id, run_id, year, "column" AS col, non_empty_tokens AS n, parsed_numeric_tokens AS ok, failed_parse_tokens AS bad,
    n IS NULL OR ok IS NULL OR bad IS NULL AS missing FROM cast_report),
@@ -124,7 +148,7 @@ UNION ALL SELECT report_id, 'volume_shift' FROM j WHERE n < mn / 2 OR n > mn * 2
 UNION ALL SELECT report_id, 'failure_shift' FROM j WHERE round(share - ms, 9) >= 0.10"""
 _P4_LONG = "WITH l AS (" + " UNION ALL ".join(f"""SELECT CAST(run_id AS VARCHAR) AS load, '{c}' AS "column", CAST("{c}" AS VARCHAR) AS value FROM cast_report""" for c in P4_COLUMNS) + """),
  c AS (SELECT load, "column", value, count(*) AS n FROM l GROUP BY ALL)"""
-P4_PROFILE = _P4_LONG + f"""
+_P4_METRICS = f"""
 SELECT load, "column", CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FILTER (value IS NULL), 0) AS BIGINT) AS n_null,
  round(coalesce(sum(n) FILTER (value IS NULL), 0) / sum(n), 9) AS null_share,
  CAST(coalesce(sum(n) FILTER (value IS NOT NULL AND {S.null_if_token("value")} IS NULL), 0) AS BIGINT) AS n_empty, count(value) AS n_distinct,
@@ -132,6 +156,10 @@ SELECT load, "column", CAST(sum(n) AS BIGINT) AS n_rows, CAST(coalesce(sum(n) FI
  min(value) AS min_text, max(value) AS max_text, min(try_cast(value AS DOUBLE)) AS min_number, max(try_cast(value AS DOUBLE)) AS max_number,
  CASE WHEN count(value) > 0 THEN round(log2(sum(n) FILTER (value IS NOT NULL)) - sum(n * log2(n)) FILTER (value IS NOT NULL) / sum(n) FILTER (value IS NOT NULL), 9) + 0.0 END AS entropy
 FROM c GROUP BY load, "column\""""
+P4_PROFILE = _P4_LONG + _P4_METRICS
+P4_LOADS = """WITH cast_report AS (SELECT report_id, run_id, year, CASE WHEN report_id % 5 = 0 THEN upper("column") ELSE "column" END AS "column", non_empty_tokens, parsed_numeric_tokens,
+  CASE WHEN report_id % 5 = 0 THEN failed_parse_tokens + 1 ELSE failed_parse_tokens END AS failed_parse_tokens FROM main.cast_report WHERE run_id % 3 <> 0 OR run_id IS NULL),
+""" + P4_PROFILE.removeprefix("WITH ")
 P4_DRIFT = _P4_LONG + """,
  t AS (SELECT load, "column" AS col, sum(n) AS s, lag(load) OVER w AS earlier FROM c GROUP BY load, "column" WINDOW w AS (PARTITION BY "column" ORDER BY CAST(load AS BIGINT))),
  p AS (SELECT t.load AS tt, col, value, n / s AS d FROM t JOIN c ON c.load = t.load AND c."column" = col WHERE earlier IS NOT NULL
@@ -218,10 +246,10 @@ P6_SCHEMAS = _P6 + "SELECT sf AS source_file, year, v AS varname, vn AS varnumbe
 
 QUERIES = {
     "p1_found": p1_found, "p1_wide": p1_wide, "p1_cells": p1_cells, "p2_found": p2_found, "p2_summary": p2_summary,
-    "p4_found": p4_found, "p4_profile": p4_profile, "p4_drift": p4_drift, "p5_found": p5_found, "p5_periods": p5_periods, "p5_state": p5_state,
+    "p4_found": p4_found, "p4_profile": p4_profile, "p4_loads": p4_loads, "p4_drift": p4_drift, "p5_found": p5_found, "p5_periods": p5_periods, "p5_state": p5_state,
     "p6_found": p6_found, "p6_schemas": p6_schemas, "p6_consistent": p6_consistent,
 }
 ORACLES = {
-    "p1_found": P1_FOUND, "p1_cells": P1_CELLS, "p2_found": P2_FOUND, "p2_summary": P2_SUMMARY, "p4_found": P4_FOUND, "p4_profile": P4_PROFILE,
+    "p1_found": P1_FOUND, "p1_cells": P1_CELLS, "p2_found": P2_FOUND, "p2_summary": P2_SUMMARY, "p4_found": P4_FOUND, "p4_profile": P4_PROFILE, "p4_loads": P4_LOADS,
     "p4_drift": P4_DRIFT, "p5_found": P5_FOUND, "p5_periods": P5_PERIODS, "p5_state": P5_STATE, "p6_found": P6_FOUND, "p6_schemas": P6_SCHEMAS,
 }

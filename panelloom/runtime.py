@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +20,9 @@ BROADCAST_BYTES = 32 << 20
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach.
 
-    It is the one the cluster names in ``spark.checkpoint.dir``; only where that is unset (tests,
-    a laptop) a folder of this machine is made and set as the checkpoint folder.
+    It is the one the cluster names in ``spark.checkpoint.dir``. Where that is unset and the master is local (tests, a laptop)
+    a folder of this machine is made, set as the checkpoint folder and deleted when the session's process ends; on a cluster
+    a missing setting is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
@@ -25,8 +30,12 @@ def shared_dir(spark: SparkSession) -> str:
     have = spark.sparkContext._jsc.sc().getCheckpointDir()
     if have.isDefined():
         return have.get().rstrip("/")
-    made = "file://" + tempfile.mkdtemp(prefix="panelloom-")
-    spark.sparkContext.setCheckpointDir(made)
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    folder = tempfile.mkdtemp(prefix="panelloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    spark.sparkContext.setCheckpointDir("file://" + folder)
     return shared_dir(spark)
 
 
@@ -41,6 +50,15 @@ def sweep(spark: SparkSession) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[SparkSession]:
+    """A span of work whose scratch tables are deleted at its end; results must have been written or collected by then."""
+    try:
+        yield spark
+    finally:
+        sweep(spark)
+
+
 def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: a lineage cut that survives lost executors."""
     path = scratch(df.sparkSession, name)

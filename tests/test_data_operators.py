@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StringType, StructField, StructType
 
+from panelloom.sources.versions import Versions
 from panelloom.operators import copies, drifting, eav, orphans, quality_profile, ranking
 from panelloom.runtime import bounded, fits_broadcast, pick
 
@@ -124,6 +125,8 @@ def test_median_of_others(spark):
     rows = [(rng.choice("ab"), rng.randint(1, 5), rng.randint(0, 6), i) for i in range(120)] + [("solo", 1, 3, 999), ("c", 1, None, 1000), ("c", 2, 5, 1001)]
     df = spark.createDataFrame(rows, "g string, p int, v int, i int")
     got = {(r.g, r.p): r.median for r in ranking.median_of_others(df, ["g"], "p", "v", ["i"]).collect()}
+    in_blocks = {(r.g, r.p): r.median for r in ranking.median_of_others(df, ["g"], "p", "v", ["i"], block=4).collect()}
+    assert got == in_blocks
     want = {}
     for g, p in {(r[0], r[1]) for r in rows if r[2] is not None}:
         rest = [r[2] for r in rows if r[0] == g and r[1] != p and r[2] is not None]
@@ -141,13 +144,26 @@ def test_report_issues(spark):
         (15, 1, 2023, None, 5, 4, 2), (16, 1, 2009, "A", -1, -1, 0), (17, 1, 2010, "A", 100, 99, 1), (18, 1, 2008, "A", 0, 0, 0), (19, None, 2008, "A", 7, 7, 0), (20, 2, 2008, "A", 7, 7, 0),
     ]
     df = spark.createDataFrame(rows, REPORT).select("*", F.lit(1).alias("volume"), F.lit("x").alias("COLUMN"))
-    assert rows_of(quality_profile.report_issues(df), "report_id", "issue") == sorted([
+    assert rows_of(quality_profile.report_issues(df, small=2), "report_id", "issue") == rows_of(quality_profile.report_issues(df), "report_id", "issue") == sorted([
         (10, "volume_shift"), (11, "volume_shift"), (12, "failure_shift"), (13, "count_missing"), (14, "bad_column_name"), (15, "bad_column_name"), (15, "counts_disagree"),
         (16, "counts_disagree"), (18, "volume_shift"),
     ], key=repr)
     assert quality_profile.report_issues(df.limit(0)).count() == 0
 
 
+def test_report_counts_persist_between_loads(spark, tmp_path):
+    """Issues of a later load see what earlier loads left; a withdrawal takes its entries out of the medians again."""
+    store = Versions(spark, f"file://{tmp_path}/counts", quality_profile.ENTRIES)
+    first = spark.createDataFrame([(i, 1, 2010 + i, "A", 100, 99, 1) for i in range(4)], REPORT)
+    later = spark.createDataFrame([(9, 1, 2020, "A", 300, 297, 3)], REPORT)
+    assert quality_profile.report_issues(first, store).count() == 0
+    assert rows_of(quality_profile.report_issues(later, store), "report_id", "issue") == [(9, "volume_shift")]
+    left = store.advance(lambda c: quality_profile.apply_report_delta(c, quality_profile.report_counts(first, -1)))
+    assert [(r.year, r.n) for r in left.collect()] == [(2020, 1)] and quality_profile.entry_issues(left).count() == 0
+    # A version that is there is not written again.
+    assert store.advance(lambda c: c.limit(0), number=3).count() == 1
+
+
 def test_counts_take_deltas_back(spark):
     df = spark.createDataFrame([("x", None), ("x", "1"), (None, "1"), ("y", "2")], "a string, b string")
     counts = quality_profile.value_counts(df, F.lit("l"), ["a", "b"])
