@@ -1,8 +1,14 @@
-"""Schemas that drift between files: minimum-cost edit scripts between schema trees, and the projections they compile to."""
+"""Schemas that drift between files: minimum-cost edit scripts between schema trees, and the projections they compile to.
+
+A delivered file is a tree with two branches: its names with the numbers below each, and its numbers with the names below
+each. Names and numbers are keys, so one that stands on both sides stays itself; what else becomes what is decided by cost.
+Every reported change is an operation of the script, and the scripts chain the names of a source through its files.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -22,26 +28,30 @@ MOVE = 0.9
 
 @dataclass
 class Node:
-    """A schema node: a label, an optional number that stays when the label changes, a type, and children."""
+    """A schema node: a label, an optional number that stays when the label changes, a type, and children.
+
+    The children of a ``keyed`` node are known by their label: one found on both sides is matched with itself.
+    """
 
     label: str
     ident: str = ""
     kind: str = ""
     children: list[Node] = field(default_factory=list)
+    keyed: bool = False
 
     def size(self) -> int:
         return 1 + sum(c.size() for c in self.children)
 
 
-def schema_tree(kind: DataType, label: str = "") -> Node:
-    """The tree of a Spark schema; arrays and maps are nodes with their element below."""
+def schema_tree(kind: DataType, label: str = "", ident: str = "") -> Node:
+    """The tree of a Spark schema; arrays and maps are nodes with their element below. A field's ``id`` in its metadata is its number."""
     if isinstance(kind, StructType):
-        return Node(label, "", "struct", [schema_tree(f.dataType, f.name) for f in kind.fields])
+        return Node(label, ident, "struct", [schema_tree(f.dataType, f.name, str((f.metadata or {}).get("id", ""))) for f in kind.fields])
     if isinstance(kind, ArrayType):
-        return Node(label, "", "array", [schema_tree(kind.elementType, "element")])
+        return Node(label, ident, "array", [schema_tree(kind.elementType, "element")])
     if isinstance(kind, MapType):
-        return Node(label, "", "map", [schema_tree(kind.keyType, "key"), schema_tree(kind.valueType, "value")])
-    return Node(label, "", kind.simpleString())
+        return Node(label, ident, "map", [schema_tree(kind.keyType, "key"), schema_tree(kind.valueType, "value")])
+    return Node(label, ident, kind.simpleString())
 
 
 def assignment(cost: list[list[float]]) -> list[int]:
@@ -81,6 +91,8 @@ def _own_cost(a: Node, b: Node) -> float:
     """Of turning one node into another; nodes that share neither label nor number, or whose shapes differ, don't match."""
     shared = a.label == b.label or (a.ident != "" and a.ident == b.ident)
     shaped = bool(a.children) == bool(b.children)
+    if a.keyed and b.keyed and not {c.label for c in a.children} & {c.label for c in b.children}:
+        return float("inf")
     if not shaped or (not shared and not a.children):
         return float("inf")
     return RELABEL * (a.label != b.label) + RELABEL * (a.ident != b.ident) + RETYPE * (a.kind != b.kind)
@@ -88,6 +100,8 @@ def _own_cost(a: Node, b: Node) -> float:
 
 def _match(a: Node, b: Node) -> tuple[float, list[tuple[Node | None, Node | None]]]:
     """Least cost of turning the children of ``a`` into those of ``b``, and the pairs that do it, at every depth."""
+    if a.keyed and b.keyed:
+        return _match_keyed(a, b)
     same = {(c.label, c.ident): c for c in b.children if not c.children}
     pairs: list[tuple[Node | None, Node | None]] = []
     left, used = [], set()
@@ -137,6 +151,56 @@ def _match(a: Node, b: Node) -> tuple[float, list[tuple[Node | None, Node | None
     return total, pairs
 
 
+def _match_keyed(a: Node, b: Node) -> tuple[float, list[tuple[Node | None, Node | None]]]:
+    """The same where labels are keys: shared ones match, the rest by least cost.
+
+    Of the rest, leaves may become each other, as they share their parent; inner nodes only if they share a child. Nodes
+    that can't reach each other by shared children are settled apart, so the tables stay small.
+    """
+    theirs = {c.label: c for c in b.children}
+    mine = {c.label for c in a.children}
+    pairs: list[tuple[Node | None, Node | None]] = []
+    total = 0.0
+    for x in a.children:
+        if (y := theirs.get(x.label)) is not None:
+            cost, below = _match(x, y)
+            total += cost + RETYPE * (x.kind != y.kind)
+            pairs += [(x, y), *below]
+    left = [c for c in a.children if c.label not in theirs]
+    right = [c for c in b.children if c.label not in mine]
+    if not any(c.children for c in (*left, *right)):
+        both = min(len(left), len(right))
+        pairs += list(zip(left[:both], right[:both])) + [(c, None) for c in left[both:]] + [(None, c) for c in right[both:]]
+        return total + RELABEL * both + DELETE * (len(left) - both) + ADD * (len(right) - both), pairs
+    for some_left, some_right in _components(left, right):
+        rest_a, rest_b = Node("", children=some_left), Node("", children=some_right)
+        cost, more = _match(rest_a, rest_b)
+        total += cost
+        pairs += more
+    return total, pairs
+
+
+def _components(left: list[Node], right: list[Node]) -> list[tuple[list[Node], list[Node]]]:
+    """Groups of nodes linked by shared child labels."""
+    root: dict[tuple, tuple] = {}
+
+    def find(x: tuple) -> tuple:
+        while root.setdefault(x, x) != x:
+            root[x] = x = root[root[x]]
+        return x
+
+    for side, nodes in enumerate((left, right)):
+        for k, node in enumerate(nodes):
+            for c in node.children:
+                root[find((side, k))] = find(("child", c.label))
+            find((side, k))
+    out: dict[tuple, tuple[list, list]] = {}
+    for side, nodes in enumerate((left, right)):
+        for k, node in enumerate(nodes):
+            out.setdefault(find((side, k)), ([], []))[side].append(node)
+    return list(out.values())
+
+
 def edit_script(a: Node, b: Node) -> list[tuple[str, Node | None, Node | None]]:
     """Operations that turn tree ``a`` into ``b``: add, delete, rename, renumber, retype, and move for a node that is
     deleted under one parent and added, alike, under another."""
@@ -144,7 +208,7 @@ def edit_script(a: Node, b: Node) -> list[tuple[str, Node | None, Node | None]]:
     gone = [x for x, y in pairs if y is None and x is not None]
     come = [y for x, y in pairs if x is None and y is not None]
     ops: list[tuple[str, Node | None, Node | None]] = []
-    for x in list(gone):
+    for x in [] if a.keyed else list(gone):
         twin = next((y for y in come if (x.ident and x.ident == y.ident) or (x.label == y.label and x.kind == y.kind)), None)
         if twin is not None and MOVE < DELETE * x.size() + ADD * twin.size():
             ops.append(("move", x, twin))
@@ -188,34 +252,56 @@ def file_schemas(panel: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 
 def _tree(rows: pd.DataFrame, label: str) -> Node:
+    """The tree of a file: names with their numbers and types, and numbers with their names."""
     kinds = {True: "numeric", False: "text"}
-    return Node(label, "", "file", [Node(v, n, kinds.get(k, "")) for v, n, k in sorted(zip(rows.varname, rows.varnumber, rows.is_numeric), key=lambda x: (x[0], x[1]))])
+    names: dict[str, Node] = {}
+    numbers: dict[str, Node] = {}
+    for v, n, k in sorted(zip(rows.varname, rows.varnumber, rows.is_numeric), key=lambda x: (x[0], x[1])):
+        names.setdefault(v, Node(v, "", kinds.get(k, ""), keyed=True)).children.append(Node(n))
+        numbers.setdefault(n, Node(n, keyed=True)).children.append(Node(v))
+    return Node(label, "", "file", [Node("names", children=list(names.values()), keyed=True), Node("numbers", children=list(numbers.values()), keyed=True)], keyed=True)
 
 
 def classify(a: Node, b: Node) -> list[tuple[str, str]]:
-    """(change, varname) for the fields that the edit script from file ``a`` to file ``b`` touches."""
-    ops = edit_script(a, b)
-    names_a, names_b = {c.label for c in a.children}, {c.label for c in b.children}
-    nums_a, nums_b = {c.ident for c in a.children}, {c.ident for c in b.children}
-    both_a = {(c.label, c.ident) for c in a.children}
-    out = set()
-    for _, x, y in ops:
-        if y is not None and (y.label, y.ident) not in both_a:
-            if y.ident in nums_a:
-                out.add(("renamed", y.label))
-            if y.label in names_a:
-                out.add(("renumbered", y.label))
-            if y.ident not in nums_a and y.label not in names_a:
-                out.add(("added", y.label))
-        if x is not None and x.ident not in nums_b and x.label not in names_b:
-            out.add(("removed", x.label))
-    kind_a = {c.label: c.kind for c in a.children}
-    for c in b.children:
-        if c.kind and kind_a.get(c.label) and kind_a[c.label] != c.kind:
-            out.add(("type_changed", c.label))
+    """(change, varname) of the operations of the edit script from file ``a`` to file ``b``.
+
+    A name put below a number that stays: renamed. A number put below a name that stays: renumbered. A name and a number
+    below it that both come (as new nodes or under a new label): added; that both go: removed. A name with another type:
+    type_changed.
+    """
+    up_a, up_b = _parents(a), _parents(b)
+    come: dict[str, dict[str, Node]] = {"names": {}, "numbers": {}}
+    gone: dict[str, dict[str, Node]] = {"names": {}, "numbers": {}}
+    leaves, out = [], set()
+    for op, x, y in edit_script(a, b):
+        above = up_b[id(y)] if y is not None else up_a[id(x)]
+        if above.label in come and above.kind == "" and (id(above) in (id(a.children[0]), id(a.children[1]), id(b.children[0]), id(b.children[1]))):
+            if op in ("add", "rename"):
+                come[above.label][y.label] = y
+            if op in ("delete", "rename"):
+                gone[above.label][x.label] = x
+            if op == "retype" and above.label == "names" and x.label == y.label and x.kind and y.kind:
+                out.add(("type_changed", y.label))
+        elif op in ("add", "rename"):
+            leaves.append((up_b[id(above)].label, above.label, y.label))
+    for branch, key, leaf in leaves:
+        if branch == "numbers" and key not in come["numbers"]:
+            out.add(("renamed", leaf))
+        if branch == "names" and key not in come["names"]:
+            out.add(("renumbered", key))
+    for change, moved in (("added", come), ("removed", gone)):
+        out |= {(change, v) for v, node in moved["names"].items() if any(n.label in moved["numbers"] for n in node.children)}
     return sorted(out)
 
 
+def _parents(tree: Node) -> dict[int, Node]:
+    out = {}
+    for c in tree.children:
+        out[id(c)] = tree
+        out |= _parents(c)
+    return out
+
+
 def changes(schemas: DataFrame) -> DataFrame:
     """(source_file, year, change, varname): each file against the next earlier one of its source.
 
@@ -240,48 +326,123 @@ def changes(schemas: DataFrame) -> DataFrame:
 
 
 def projections(schemas: DataFrame) -> DataFrame:
-    """(source_file, year, varname, varnumber, field, field_numeric): what each file's field is called in the one table.
+    """(source_file, year, varname, field, field_numeric): what each file's column is called in the one table.
 
-    The scripts between neighbouring files chain renamed and renumbered fields together; the newest name and type of a
-    chain are those of the whole chain. Grouped by source: a group holds the schemas of one source, not its rows.
+    The scripts between neighbouring files chain the names of a source; a chain bears its newest name, and a field has the
+    type that the newest file with it declares (of several names, the last in order). Grouped by source: a group holds the
+    schemas of one source, not its rows.
     """
 
     def chain(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         (source,) = key
-        ids: dict[tuple[int, str, str], int] = {}
-        newest: dict[int, tuple[str, object]] = {}
-        before, at = None, 0
+        ids: dict[tuple[int, str], int] = {}
+        newest: dict[int, str] = {}
+        kinds: dict[tuple[int, str], str] = {}
+        before, at, n = None, 0, 0
         for year in sorted(rows.year.unique()):
             now = _tree(rows[rows.year == year], source)
             carried = {}
             if before is not None:
-                for x, y in _match(before, now)[1]:
-                    if x is not None and y is not None:
-                        carried[y.label, y.ident] = ids[at, x.label, x.ident]
-            for c in now.children:
-                ids[year, c.label, c.ident] = i = carried.get((c.label, c.ident), len(ids))
-                newest[i] = (c.label, c.kind)
+                for x, y in _match(before.children[0], now.children[0])[1]:
+                    if x is not None and y is not None and x.keyed:
+                        carried[y.label] = ids[at, x.label]
+            for c in now.children[0].children:
+                if c.label not in carried:
+                    carried[c.label], n = n, n + 1
+                ids[year, c.label] = carried[c.label]
+                newest[carried[c.label]] = c.label
+                kinds[year, c.label] = c.kind
             before, at = now, year
-        out = [(source, y, v, n, newest[i][0], newest[i][1] == "numeric") for (y, v, n), i in ids.items()]
-        return pd.DataFrame(out, columns=["source_file", "year", "varname", "varnumber", "field", "field_numeric"], dtype=object)
+        field = {k: newest[i] for k, i in ids.items()}
+        last = {field[k]: kinds[k] for k in sorted(ids)}
+        out = [(source, y, v, f, last[f] == "numeric") for (y, v), f in field.items()]
+        return pd.DataFrame(out, columns=["source_file", "year", "varname", "field", "field_numeric"], dtype=object)
 
-    return schemas.groupBy("source_file").applyInPandas(
-        chain, "source_file string, year int, varname string, varnumber string, field string, field_numeric boolean"
-    )
+    return schemas.groupBy("source_file").applyInPandas(chain, "source_file string, year int, varname string, field string, field_numeric boolean")
 
 
 def consistent(panel: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """All files in one table: every row that resolves, under the field and type its chain has in the newest file.
+    """All files in one table: every row of the panel, under the field and type that its file's projection gives.
 
-    ``number`` holds the value of numeric fields, ``text`` that of others and what does not read as a number.
+    ``number`` holds the value of numeric fields, ``text`` that of others and what does not read as a number. Rows whose name
+    is no field of their file (nothing of it resolves) keep their own name as text and are marked not ``resolved``: no row is
+    lost.
     """
     plan = bounded(materialise(projections(file_schemas(panel, dictionary)), "projections"))
     value = T.null_if_token(F.col("value"))
-    rows = pick(panel, "row_id", "UNITID", "year", "source_file", "varname", "varnumber", "value").select(
+    rows = pick(panel, "row_id", "UNITID", "year", "source_file", "varname", "value").select(
         "row_id", "UNITID", F.col("year").cast("int").alias("year"), T.source_file(F.col("source_file")).alias("source_file"),
-        T.varname(F.col("varname")).alias("varname"), T.varnumber(F.col("varnumber")).alias("varnumber"), value.alias("value"),
+        T.varname(F.col("varname")).alias("varname"), value.alias("value"),
     )
     number = F.when(F.col("field_numeric"), T.read_number(F.col("value")))
-    return rows.join(plan, ["source_file", "year", "varname", "varnumber"]).select(
-        "row_id", "UNITID", "year", "source_file", "field", "field_numeric", number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text")
-    )
+    return rows.join(plan, ["source_file", "year", "varname"], "left").select(
+        "row_id", "UNITID", "year", "source_file", F.coalesce("field", "varname").alias("field"), F.coalesce("field_numeric", F.lit(False)).alias("field_numeric"),
+        number.alias("number"), F.when(number.isNull(), F.col("value")).alias("text"), F.col("field").isNotNull().alias("resolved"),
+    )
+
+
+def unify(frames: list[DataFrame]) -> tuple[DataFrame, list[tuple[int, str, str]]]:
+    """Tables of drifting schemas, oldest first, as one table, and (position, operation, field path) of each change.
+
+    The scripts between neighbouring schemas chain fields, at any depth of structs, and compile to one projection per table:
+    a field bears its newest name and type, one that a table lacks is null, and values that don't fit the newest type are
+    null by ``try_cast``. Fields that were removed stay, behind the newest ones. Arrays and maps are cast as a whole.
+    """
+    trees = [schema_tree(f.schema) for f in frames]
+    ids: list[dict[tuple[str, ...], int]] = []
+    report: list[tuple[int, str, str]] = []
+    last: dict[int, tuple[tuple[str, ...], DataType]] = {}
+    n = 0
+    for k, (frame, tree) in enumerate(zip(frames, trees)):
+        own = _paths(tree)
+        carried: dict[tuple[str, ...], int] = {}
+        if k:
+            was = {id(x): p for p, x in _paths(trees[k - 1]).items()}
+            now = {id(x): p for p, x in own.items()}
+            script = edit_script(trees[k - 1], tree)
+            report += [(k, op, ".".join(now[id(y)] if id(y) in now else was.get(id(x), ()))) for op, x, y in script if id(y) in now or id(x) in was]
+            pairs = _match(trees[k - 1], tree)[1] + [(x, y) for op, x, y in script if op == "move"]
+            carried = {now[id(y)]: ids[k - 1][was[id(x)]] for x, y in pairs if id(x) in was and id(y) in now}
+        mine = {}
+        for p in own:
+            if p not in carried:
+                carried[p], n = n, n + 1
+            mine[p] = carried[p]
+            last[mine[p]] = (p, _type_at(frame.schema, p))
+        ids.append(mine)
+    # Newest fields first; an id is placed under the id of its parent in the newest schema that has it.
+    where = {i: p for i, (p, _) in last.items()}
+    order = sorted(last, key=lambda i: (next(-k for k in range(len(ids) - 1, -1, -1) if i in ids[k].values()), [*ids[-1]].index(where[i]) if where[i] in ids[-1] else i))
+
+    def column(frame: int, i: int, taken: tuple[str, ...]):
+        at = next((p for p, j in ids[frame].items() if j == i), None)
+        kind = last[i][1]
+        if isinstance(kind, StructType):
+            below = [j for j in order if where[j][:-1] == where[i]]
+            return F.struct(*[column(frame, j, ()) for j in below]).alias(where[i][-1])
+        got = F.col(".".join(f"`{x}`" for x in at)) if at else F.lit(None)
+        same = at is not None and _type_at(frames[frame].schema, at) == kind
+        return (got if same else got.cast(kind) if isinstance(kind, (ArrayType, MapType)) else got.try_cast(kind)).alias(where[i][-1])
+
+    top, names = [], set()
+    for i in order:
+        if len(where[i]) == 1 and where[i][0].lower() not in names:
+            names.add(where[i][0].lower())
+            top.append(i)
+    return reduce(DataFrame.unionAll, [f.select(*[column(k, i, ()) for i in top]) for k, f in enumerate(frames)]), report
+
+
+def _paths(tree: Node, at: tuple[str, ...] = ()) -> dict[tuple[str, ...], Node]:
+    """The nodes below a struct by their path; elements of arrays and maps are part of their field."""
+    out = {}
+    for c in tree.children:
+        out[(*at, c.label)] = c
+        if c.kind == "struct":
+            out |= _paths(c, (*at, c.label))
+    return out
+
+
+def _type_at(kind: DataType, path: tuple[str, ...]) -> DataType:
+    for p in path:
+        kind = kind[p].dataType
+    return kind

@@ -243,6 +243,18 @@ UNION SELECT sf, year, 'added', v FROM l WHERE NOT EXISTS (FROM e WHERE e.sf = l
 UNION SELECT sf, tt, 'removed', v FROM e WHERE NOT EXISTS (FROM l WHERE e.sf = l.sf AND e.tt = l.year AND (e.vn = l.vn OR e.v = l.v))
 UNION SELECT l.sf, l.year, 'type_changed', l.v FROM l JOIN e ON e.sf = l.sf AND e.tt = l.year AND e.v = l.v WHERE l.num <> e.num"""
 P6_SCHEMAS = _P6 + "SELECT sf AS source_file, year, v AS varname, vn AS varnumber, num AS is_numeric FROM f"
+P6_CONSISTENT = _P6.replace("WITH d AS", "WITH RECURSIVE d AS", 1) + f""",
+ nm AS (SELECT DISTINCT sf, year, v, num FROM f), nxt AS (SELECT sf, year, lead(year) OVER (PARTITION BY sf ORDER BY year) AS later FROM (SELECT DISTINCT sf, year FROM f)),
+ kept AS (SELECT nm.sf, nm.year, nm.v, later, nm.v AS v2 FROM nm JOIN nxt USING (sf, year) JOIN nm o ON o.sf = nm.sf AND o.year = later AND o.v = nm.v),
+ came AS (SELECT a.sf, a.year, a.v, later, b.v AS v2, count(DISTINCT a.vn) AS shared FROM f a JOIN nxt USING (sf, year) JOIN f b ON b.sf = a.sf AND b.year = later AND b.vn = a.vn
+   WHERE NOT EXISTS (FROM kept k WHERE k.sf = a.sf AND k.year = a.year AND k.v IN (a.v, b.v)) GROUP BY ALL),
+ step AS (SELECT * FROM kept UNION ALL SELECT sf, year, v, later, arg_max(v2, shared) FROM came GROUP BY sf, year, v, later),
+ walk AS (SELECT sf, year, v, year AS here, v AS name FROM nm UNION ALL SELECT w.sf, w.year, w.v, s.later, s.v2 FROM walk w JOIN step s ON s.sf = w.sf AND s.year = w.here AND s.v = w.name),
+ final AS (SELECT sf, year, v, arg_max(name, here) AS field FROM walk GROUP BY sf, year, v),
+ kind AS (SELECT sf, field, coalesce(list(num ORDER BY year DESC, v DESC)[1], false) AS num FROM final JOIN nm USING (sf, year, v) GROUP BY sf, field),
+ rows AS (SELECT row_id, UNITID, year, {S.source_file("source_file")} AS sf, {S.varname("varname")} AS v, {S.null_if_token("value")} AS value FROM panel_long)
+SELECT row_id, UNITID, r.year, r.sf AS source_file, coalesce(f.field, r.v) AS field, coalesce(k.num, false) AS field_numeric, CASE WHEN k.num THEN {S.read_number("value")} END AS number,
+ CASE WHEN number IS NULL THEN value END AS text, f.field IS NOT NULL AS resolved FROM rows r LEFT JOIN final f ON f.sf = r.sf AND f.year = r.year AND f.v = r.v LEFT JOIN kind k ON k.sf = f.sf AND k.field = f.field"""
 
 QUERIES = {
     "p1_found": p1_found, "p1_wide": p1_wide, "p1_cells": p1_cells, "p2_found": p2_found, "p2_summary": p2_summary,
@@ -251,5 +263,5 @@ QUERIES = {
 }
 ORACLES = {
     "p1_found": P1_FOUND, "p1_cells": P1_CELLS, "p2_found": P2_FOUND, "p2_summary": P2_SUMMARY, "p4_found": P4_FOUND, "p4_profile": P4_PROFILE, "p4_loads": P4_LOADS,
-    "p4_drift": P4_DRIFT, "p5_found": P5_FOUND, "p5_periods": P5_PERIODS, "p5_state": P5_STATE, "p6_found": P6_FOUND, "p6_schemas": P6_SCHEMAS,
+    "p4_drift": P4_DRIFT, "p5_found": P5_FOUND, "p5_periods": P5_PERIODS, "p5_state": P5_STATE, "p6_found": P6_FOUND, "p6_schemas": P6_SCHEMAS, "p6_consistent": P6_CONSISTENT,
 }
