@@ -7,7 +7,8 @@ State of the operator (three keyed tables, see :class:`State`):
 * the pending keys: those of the counts that find no parent, and whether the parent never was, is gone or comes later.
 
 New references, arriving parents and deletions are signed deltas. An arriving parent takes a key out, a deletion puts it
-back. Only keys touched by a delta are looked at again.
+back. Only keys touched by a delta are looked at again. Deltas commute: a deletion that comes before its arrival leaves a
+negative count, which the arrival cancels; only positive counts are live.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from panelloom.runtime import bounded, materialise, pick
 
 PARENT_KEY = ["source_file", "varnumber", "year"]
 KEY = ["table_name", *PARENT_KEY]
+#: The table whose references may leave source or year open.
+OPEN_TABLE = "dictionary_ambiguity_overrides"
 RAW = ["raw_source", "raw_number", "raw_year"]
 
 
@@ -37,18 +40,18 @@ def parent_delta(dictionary: DataFrame, sign: int = 1) -> DataFrame:
 
 
 def apply_parents(index: DataFrame, delta: DataFrame) -> DataFrame:
-    """The parent index after arrivals (+) and deletions (-); keys without a live parent are dropped."""
-    return index.unionByName(delta).groupBy(*PARENT_KEY).agg(F.sum("n").alias("n")).where("n > 0")
+    """The parent index after arrivals (+) and deletions (-); keys that cancel are dropped, negative ones wait for their arrival."""
+    return index.unionByName(delta).groupBy(*PARENT_KEY).agg(F.sum("n").alias("n")).where("n <> 0")
 
 
 def years_by_key(index: DataFrame) -> DataFrame:
     """(source_file, varnumber) -> its live years in order."""
-    return index.groupBy("source_file", "varnumber").agg(F.array_sort(F.collect_set("year")).alias("years"))
+    return index.where("n > 0").groupBy("source_file", "varnumber").agg(F.array_sort(F.collect_set("year")).alias("years"))
 
 
 def years_anywhere(index: DataFrame) -> DataFrame:
     """varnumber -> its live years in any source, for references that leave the source open."""
-    return index.groupBy("varnumber").agg(F.array_sort(F.collect_set("year")).alias("any_years"))
+    return index.where("n > 0").groupBy("varnumber").agg(F.array_sort(F.collect_set("year")).alias("any_years"))
 
 
 def orphan_kind(year: Column, years: Column) -> Column:
@@ -70,21 +73,22 @@ def override_references(overrides: DataFrame) -> DataFrame:
     """References of overrides that select a varnumber; an empty or unreadable year is 0, an empty source ''."""
     year = T.null_if_token(F.col("year").cast("string")).try_cast("double").try_cast("int")
     return pick(overrides, "override_id", "source_file", "selected_varnumber", "year").select(
-        F.lit("dictionary_ambiguity_overrides").alias("table_name"), F.col("override_id").alias("record_id"),
+        F.lit(OPEN_TABLE).alias("table_name"), F.col("override_id").alias("record_id"),
         F.when(T.is_empty(F.col("source_file")), F.lit("")).otherwise(T.source_file(F.col("source_file"))).alias("source_file"),
         T.varnumber(F.col("selected_varnumber")).alias("varnumber"), F.coalesce(year, F.lit(0)).alias("year"),
     ).where("varnumber is not null")
 
 
 def lookup(keys: DataFrame, index: DataFrame) -> DataFrame:
-    """``keys`` (with source_file, varnumber, year) that have no live parent, with their ``kind``.
+    """``keys`` (with table_name, source_file, varnumber, year) that have no live parent, with their ``kind``.
 
-    An empty source matches any source and year 0 any year. The index is joined by broadcast when it is proven small; beyond
+    In references of ``OPEN_TABLE`` an empty source matches any source and year 0 any year; in others they match nothing. The index is joined by broadcast when it is proven small; beyond
     that the join is shuffled.
     """
     found = keys.join(bounded(years_by_key(index)), ["source_file", "varnumber"], "left").join(bounded(years_anywhere(index)), "varnumber", "left")
-    found = found.withColumn("years", F.when(F.col("source_file") == "", F.col("any_years")).otherwise(F.col("years")))
-    met = F.coalesce(F.array_contains("years", F.col("year")), F.lit(False)) | ((F.col("year") == 0) & F.col("years").isNotNull())
+    wild = F.col("table_name") == OPEN_TABLE
+    found = found.withColumn("years", F.when(wild & (F.col("source_file") == ""), F.col("any_years")).otherwise(F.col("years")))
+    met = F.coalesce(F.array_contains("years", F.col("year")), F.lit(False)) | (wild & (F.col("year") == 0) & F.col("years").isNotNull())
     return found.where(~met).withColumn("kind", orphan_kind(F.col("year"), F.col("years"))).select(*keys.columns, "kind")
 
 
@@ -112,11 +116,12 @@ def advance(state: State, references: DataFrame, parents: DataFrame) -> State:
     that nothing touches keep their entry as it is.
     """
     index = apply_parents(state.index, parents)
-    counts = state.counts.unionByName(references).groupBy(*KEY).agg(F.sum("n").alias("n")).where("n > 0")
+    counts = state.counts.unionByName(references).groupBy(*KEY).agg(F.sum("n").alias("n")).where("n <> 0")
+    live = counts.where("n > 0")
     moved = parents.select("varnumber").distinct()
     fresh = references.select(*KEY).distinct()
     quiet = state.pending.join(moved, "varnumber", "left_anti").join(fresh, KEY, "left_anti")
-    touched = counts.join(moved, "varnumber", "left_semi").unionByName(counts.join(moved, "varnumber", "left_anti").join(fresh, KEY, "left_semi"))
+    touched = live.join(moved, "varnumber", "left_semi").unionByName(live.join(moved, "varnumber", "left_anti").join(fresh, KEY, "left_semi"))
     return State(index, counts, quiet.unionByName(lookup(touched, index).select(*state.pending.columns)))
 
 
@@ -166,14 +171,16 @@ def waiting_rows(panel: DataFrame, spellings: DataFrame, pending: DataFrame) ->
 def orphans(panel: DataFrame, dictionary: DataFrame, overrides: DataFrame) -> DataFrame:
     """(table_name, year, record_id, kind) of every reference that finds nothing.
 
-    The first step of the keyed state: all parents arrive, all references are new; the records of the keys that stay pending
-    come out. Null and null-like varnumbers are no reference. A repeated row is reported under its own id. Without a
-    dictionary every reference is ``missing``.
+    Two steps of the keyed state: all references come first and wait, then the dictionary arrives and resolves those it
+    meets; the records of the keys that stay pending come out. Null and null-like varnumbers are no reference. A repeated row
+    is reported under its own id. Without a dictionary every reference is ``missing``.
     """
     spellings = materialise(panel_spellings(panel), "spellings")
     wild = materialise(override_references(overrides), "overrides")
     counts = materialise(spellings.groupBy(*KEY).agg(F.sum("n").alias("n")).unionByName(reference_counts(wild)), "references")
     parents = materialise(parent_delta(dictionary), "parents")
-    pending = materialise(advance(start(panel.sparkSession), counts, parents).pending, "pending")
+    none = start(panel.sparkSession)
+    waiting_all = State(none.index, counts, materialise(advance(none, counts, none.index).pending, "waiting"))
+    pending = materialise(advance(waiting_all, none.counts, parents).pending, "pending")
     waiting = wild.join(pending.select(*KEY, "kind"), KEY).select("table_name", "year", "record_id", "kind")
     return waiting_rows(panel, spellings, pending).unionByName(waiting)

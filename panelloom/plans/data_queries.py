@@ -180,15 +180,28 @@ def p5_periods(spark, d):
 
 
 def p5_state(spark, d):
-    """Open references after three steps: the dictionary of years up to 2016, then all panel references, then the rest of the
-    dictionary. The keyed state ends where a single look at everything ends."""
+    """Open references after five steps: the dictionary of years up to 2016, all references, the rest of the dictionary, the
+    deletion of the years up to 2012, which reopens what they met, and their return. The keyed state ends where a single look
+    at everything ends; the snapshot of the fourth step is p5_reopened."""
+    state = _p5_deleted(spark, d)
+    back = orphans.advance(state, orphans.start(spark).counts, orphans.parent_delta(table(spark, d, "dictionary_lake").where("year <= 2012")))
+    return orphans.snapshot(back.pending)
+
+
+def p5_reopened(spark, d):
+    """Open references while the dictionary of the years up to 2012 is deleted."""
+    return orphans.snapshot(_p5_deleted(spark, d).pending)
+
+
+def _p5_deleted(spark, d) -> orphans.State:
     lake = table(spark, d, "dictionary_lake")
     none = orphans.start(spark)
-    first = orphans.advance(none, none.counts, orphans.parent_delta(lake.where("year <= 2016")))
-    references = materialise(orphans.panel_reference_counts(table(spark, d, "panel_long")), "references")
-    second = orphans.persist(orphans.advance(first, references, none.index))
-    last = orphans.advance(second, none.counts, orphans.parent_delta(lake.where("year > 2016")))
-    return orphans.snapshot(last.pending)
+    state = orphans.advance(none, none.counts, orphans.parent_delta(lake.where("year <= 2016")))
+    wild = orphans.reference_counts(orphans.override_references(table(spark, d, "dictionary_ambiguity_overrides")))
+    references = materialise(orphans.panel_reference_counts(table(spark, d, "panel_long")).unionByName(wild), "references")
+    state = orphans.persist(orphans.advance(state, references, none.index))
+    state = orphans.persist(orphans.advance(state, none.counts, orphans.parent_delta(lake.where("year > 2016"))))
+    return orphans.persist(orphans.advance(state, none.counts, orphans.parent_delta(lake.where("year <= 2012"), -1)))
 
 
 _P5 = f"""
@@ -205,8 +218,8 @@ WITH d AS (SELECT DISTINCT year, {S.source_file("source_file")} AS sf, {S.varnum
 """
 P5_FOUND = _P5 + "SELECT * FROM found"
 P5_PERIODS = _P5 + "SELECT table_name, year, kind, count(*) AS n_references FROM found GROUP BY ALL"
-P5_STATE = _P5 + """SELECT 'panel_long' AS table_name, year, count(*) AS n_references, count(DISTINCT sf || '|' || vn) AS n_keys
-FROM j WHERE table_name = 'panel_long' GROUP BY year"""
+P5_STATE = _P5 + "SELECT table_name, year, count(*) AS n_references, count(DISTINCT sf || '|' || vn) AS n_keys FROM j GROUP BY table_name, year"
+P5_REOPENED = P5_STATE.replace('FROM dictionary_lake WHERE', 'FROM dictionary_lake WHERE year > 2012 AND')
 
 
 # --- p6: schemas that drift between files
@@ -258,10 +271,10 @@ SELECT row_id, UNITID, r.year, r.sf AS source_file, coalesce(f.field, r.v) AS fi
 
 QUERIES = {
     "p1_found": p1_found, "p1_wide": p1_wide, "p1_cells": p1_cells, "p2_found": p2_found, "p2_summary": p2_summary,
-    "p4_found": p4_found, "p4_profile": p4_profile, "p4_loads": p4_loads, "p4_drift": p4_drift, "p5_found": p5_found, "p5_periods": p5_periods, "p5_state": p5_state,
+    "p4_found": p4_found, "p4_profile": p4_profile, "p4_loads": p4_loads, "p4_drift": p4_drift, "p5_found": p5_found, "p5_periods": p5_periods, "p5_state": p5_state, "p5_reopened": p5_reopened,
     "p6_found": p6_found, "p6_schemas": p6_schemas, "p6_consistent": p6_consistent,
 }
 ORACLES = {
     "p1_found": P1_FOUND, "p1_cells": P1_CELLS, "p2_found": P2_FOUND, "p2_summary": P2_SUMMARY, "p4_found": P4_FOUND, "p4_profile": P4_PROFILE, "p4_loads": P4_LOADS,
-    "p4_drift": P4_DRIFT, "p5_found": P5_FOUND, "p5_periods": P5_PERIODS, "p5_state": P5_STATE, "p6_found": P6_FOUND, "p6_schemas": P6_SCHEMAS, "p6_consistent": P6_CONSISTENT,
+    "p4_drift": P4_DRIFT, "p5_found": P5_FOUND, "p5_periods": P5_PERIODS, "p5_state": P5_STATE, "p5_reopened": P5_REOPENED, "p6_found": P6_FOUND, "p6_schemas": P6_SCHEMAS, "p6_consistent": P6_CONSISTENT,
 }

@@ -21,8 +21,14 @@ class Versions:
         ok = lambda n: fs.exists(jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{n}/_SUCCESS"))
         return sorted(int(n[1:]) for n in names if n[:1] == "v" and n[1:].isdigit() and ok(n))
 
+    def before(self, number: int) -> DataFrame:
+        """The latest version below ``number``."""
+        return self._read([n for n in self._numbers() if n < number])
+
     def latest(self) -> DataFrame:
-        got = self._numbers()
+        return self._read(self._numbers())
+
+    def _read(self, got: list[int]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(f"{self.folder}/v{got[-1]}") if got else self.spark.createDataFrame([], self.schema)
 
     def write(self, df: DataFrame, number: int) -> None:

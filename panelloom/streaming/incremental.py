@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from panelloom.operators import orphans, quality_profile
@@ -36,26 +37,39 @@ def maintain_profile(rows: DataFrame, load: Column, columns: list[str], state: s
     return _drain(rows, checkpoint, act)
 
 
-def maintain_orphans(references: DataFrame, state: str, checkpoint: str) -> StreamingQuery:
-    """Count new references per key in ``state``.
+EVENTS = "side string, table_name string, source_file string, varnumber string, year int, n long"
 
-    Pending orphans are the counts without a parent, so a parent that arrives between batches resolves what waits and one
-    that goes reopens it: see :func:`open_references`.
+
+def orphan_state(spark: SparkSession, state: str) -> tuple[orphans.State, dict[str, Versions]]:
+    """The keyed state in a folder, and the versioned tables that hold it."""
+    none = orphans.start(spark)
+    stores = {name: Versions(spark, f"{state}/{name}", getattr(none, name).schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")) for name in ("index", "counts", "pending")}
+    return orphans.State(**{name: store.latest() for name, store in stores.items()}), stores
+
+
+def maintain_orphans(events: DataFrame, state: str, checkpoint: str) -> StreamingQuery:
+    """Advance the keyed state in ``state`` by each batch of ``events`` (see ``EVENTS``).
+
+    An event is ``n`` references (side ``reference``) or parents (side ``parent``) of a key that come (n > 0) or go (n < 0): new
+    references probe the index, arriving parents resolve what waits, deletions reopen it. The pending table is written last, so
+    a batch that was cut off is done again from the version before.
     """
-    schema = "table_name string, source_file string, varnumber string, year int, n long"
-    store = Versions(references.sparkSession, state, schema)
 
     def act(batch: DataFrame, number: int) -> None:
-        if not store.has(number):
-            fresh = orphans.reference_counts(batch)
-            key = ["table_name", *orphans.PARENT_KEY]
-            merged = store.latest().unionByName(fresh).groupBy(*key).agg({"n": "sum"}).withColumnRenamed("sum(n)", "n")
-            store.write(merged, number)
+        now, stores = orphan_state(batch.sparkSession, state)
+        if stores["pending"].has(number):
+            return
+        key = orphans.KEY
+        references = batch.where("side = 'reference'").groupBy(*key).agg(F.sum("n").alias("n"))
+        parents = batch.where("side = 'parent'").groupBy(*orphans.PARENT_KEY).agg(F.sum("n").alias("n"))
+        before = orphans.State(**{name: store.before(number) for name, store in stores.items()})
+        after = orphans.advance(before, references, parents)
+        for name in ("index", "counts", "pending"):
+            stores[name].write(getattr(after, name).coalesce(8), number)
 
-    return _drain(references, checkpoint, act)
+    return _drain(events, checkpoint, act)
 
 
-def open_references(spark: SparkSession, state: str, index: DataFrame) -> DataFrame:
+def open_references(spark: SparkSession, state: str) -> DataFrame:
     """The references that wait for a parent, per table and period."""
-    counts = Versions(spark, state, "table_name string, source_file string, varnumber string, year int, n long").latest()
-    return orphans.snapshot(counts.join(index.select(*orphans.PARENT_KEY), orphans.PARENT_KEY, "left_anti"))
+    return orphans.snapshot(orphan_state(spark, state)[0].pending)

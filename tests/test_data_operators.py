@@ -185,15 +185,25 @@ def test_orphans(spark):
     refs = panel(spark, [
         (1, 2010, 1, "A", "1", "x", "num", "S", 1), (2, 2011, 1, "A", "1", "x", "num", "S2011", 1), (3, 2013, 1, "A", " 2", "x", "num", "t", 1), (4, 2009, None, "A", "2", None, None, "T", None),
         (5, 2010, 1, "A", "nan", "x", "num", "S", 1), (6, 2010, 1, "A", "3", "x", "num", None, 1), (7, 2009, 1, "A", "2", "x", "num", "S", 1),
+        (8, None, 1, "A", "1", "x", "num", "S", 1), (9, 2010, 1, "A", "1", "x", "num", " ", 1),
     ])
     over = spark.createDataFrame([(1, "", "", "2"), (2, "2010", "", "1"), (3, "2013", "T", "2"), (4, None, "S", "9"), (5, "x", "S", ""), (6, "2011", "", "2"), (7, "", "S", "1")], "override_id long, year string, source_file string, selected_varnumber string")
     got = rows_of(orphans.orphans(refs, lake, over), "table_name", "year", "record_id", "kind")
     o, p = "dictionary_ambiguity_overrides", "panel_long"
-    assert got == sorted([(p, 2011, 2, "missing"), (p, 2013, 3, "deleted"), (p, 2009, 4, "late"), (p, 2010, 6, "missing"), (p, 2009, 7, "missing"), (o, 2013, 3, "deleted"), (o, 0, 4, "missing"), (o, 2011, 6, "late")], key=repr)
+    assert got == sorted([(p, 2011, 2, "missing"), (p, 2013, 3, "deleted"), (p, 2009, 4, "late"), (p, 2010, 6, "missing"), (p, 2009, 7, "missing"), (p, 0, 8, "missing"), (p, 2010, 9, "missing"), (o, 2013, 3, "deleted"), (o, 0, 4, "missing"), (o, 2011, 6, "late")], key=repr)
     assert orphans.orphans(refs.limit(0), lake.limit(0), over.limit(0)).count() == 0
     assert {r.kind for r in orphans.orphans(refs, lake.limit(0), over.limit(0)).collect()} == {"missing"}
 
 
+def test_a_deletion_before_its_arrival_cancels(spark):
+    none = orphans.start(spark)
+    refs = spark.createDataFrame([("t", "S", "1", 2010, 1)], none.counts.schema)
+    parent = lambda n: spark.createDataFrame([("S", "1", 2010, n)], none.index.schema)
+    state = orphans.persist(orphans.advance(orphans.advance(none, refs, parent(-1)), none.counts, parent(1)))
+    assert state.index.count() == 0 and state.pending.count() == 1
+    assert orphans.advance(state, none.counts, parent(1)).pending.count() == 0
+
+
 def test_pending_state_follows_arrivals_and_deletions(spark):
     rng = random.Random(11)
     state = orphans.start(spark)
@@ -207,7 +217,7 @@ def test_pending_state_follows_arrivals_and_deletions(spark):
             refs[k] = refs.get(k, 0) + n
         for v, n in move.items():
             live[v] = live.get(v, 0) + n
-        batch = spark.createDataFrame([("t", s, v, 2010, n) for (s, v), n in new.items()], state.counts.schema)
+        batch = spark.createDataFrame([(orphans.OPEN_TABLE, s, v, 2010, n) for (s, v), n in new.items()], state.counts.schema)
         parents = spark.createDataFrame([("S", v, 2010 if v != "4" else 2012, n) for v, n in move.items()], state.index.schema)
         state = orphans.persist(orphans.advance(state, batch, parents))
         met = lambda v: live.get(v, 0) > 0 and v != "4"  # noqa: E731, B023

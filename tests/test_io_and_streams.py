@@ -79,15 +79,19 @@ def test_streams_keep_state_once(spark, tmp_path):
 
 
 def test_stream_of_references(spark, tmp_path):
+    """References wait, parents resolve them, deletions reopen them; a deletion before its arrival cancels out."""
     src, state, ck = (str(tmp_path / n) for n in ("src", "state", "ck"))
-    schema = "table_name string, record_id long, source_file string, varnumber string, year int"
-    spark.createDataFrame([("p", 1, "S", "1", 2010), ("p", 2, "S", "1", 2010), ("p", 3, "S", "2", 2010)], schema).write.parquet(src)
-    stream = incremental.stream_files(spark, src, spark.createDataFrame([], schema).schema)
-    incremental.maintain_orphans(stream, state, ck).awaitTermination()
-    index = spark.createDataFrame([("S", "1", 2010, 1)], "source_file string, varnumber string, year int, n long")
-    assert rows_of(incremental.open_references(spark, state, index), "table_name", "year", "n_references") == [("p", 2010, 1)]
-    gone = orphans.apply_parents(index, index.withColumn("n", -F.col("n")))
-    assert rows_of(incremental.open_references(spark, state, gone), "n_references", "n_keys") == [(3, 2)]
+    steps = [
+        ([("reference", "p", "S", "1", 2010, 2), ("reference", "p", "S", "2", 2010, 1)], [("p", 2010, 3)]),
+        ([("parent", None, "S", "1", 2010, 1)], [("p", 2010, 1)]),
+        ([("parent", None, "S", "2", 2010, -1)], [("p", 2010, 1)]),
+        ([("parent", None, "S", "2", 2010, 1), ("parent", None, "S", "1", 2010, -1)], [("p", 2010, 3)]),
+        ([("parent", None, "S", "2", 2010, 1), ("reference", "p", "S", "1", 2010, -1)], [("p", 2010, 1)]),
+    ]
+    for rows, want in steps:
+        spark.createDataFrame(rows, incremental.EVENTS).coalesce(1).write.mode("append").parquet(src)
+        incremental.maintain_orphans(incremental.stream_files(spark, src, spark.createDataFrame([], incremental.EVENTS).schema), state, ck).awaitTermination()
+        assert rows_of(incremental.open_references(spark, state), "table_name", "year", "n_references") == want
 
 
 def test_latin1_after_many_plain_lines(spark, tmp_path):
