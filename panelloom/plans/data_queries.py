@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelloom.functions import sql as S
+from panelloom.functions import text as T
 from panelloom.operators import copies, drifting, eav, orphans, quality_profile
 from panelloom.runtime import materialise, scratch
 from panelloom.sources.versions import Versions
@@ -26,31 +27,28 @@ def p1_wide(spark, d):
     return eav.wide_table(table(spark, d, "panel_long"))
 
 
-def p1_cells(spark, d):
-    panel = table(spark, d, "panel_long")
-    types = eav.declared_types(panel)
-    plan = eav.plan_attributes(types)
-    names = spark.createDataFrame([(p[0], p[2], p[3]) for p in plan], "varname string, block int, bit int")
-    cells = eav.narrow_tables(panel, types, plan).join(F.broadcast(names), ["block", "bit"])
-    return cells.select("UNITID", "year", "varname", "num", "text", "unparsed")
+def p1_long(spark, d):
+    """The wide table melted back."""
+    return eav.melted(p1_wide(spark, d))
 
 
 _P1 = f"""
 WITH r AS (SELECT UNITID, year, {S.varname("varname")} AS varname, {S.null_if_token("value")} AS value, {S.read_number("value")} AS num,
                   {S.declared_numeric('"DataType"')} AS is_num, loaded_at, row_id FROM panel_long),
      t AS (SELECT varname, year, count(*) FILTER (is_num) AS a, count(*) FILTER (NOT is_num) AS b FROM r GROUP BY ALL),
-     lane AS (SELECT varname, sum(a) > sum(b) AS lane FROM t GROUP BY varname)
+     kind AS (SELECT varname, bool_or(a > b) AS has_num, bool_and(a > b) AS all_num FROM t GROUP BY varname)
 """
 P1_FOUND = _P1 + """
 SELECT UNITID, year, varname FROM r JOIN t USING (varname, year) WHERE UNITID IS NOT NULL AND a > b
 GROUP BY UNITID, year, varname HAVING count(value) > 0 AND count(num) = 0"""
-P1_CELLS = _P1 + """
-SELECT UNITID, year, varname,
-       CASE WHEN any_value(lane) THEN list(num ORDER BY loaded_at DESC, row_id DESC) FILTER (num IS NOT NULL)[1] END AS num,
-       CASE WHEN NOT any_value(lane) THEN list(value ORDER BY loaded_at DESC, row_id DESC) FILTER (value IS NOT NULL)[1] END AS text,
-       any_value(a > b) AND count(value) > 0 AND count(num) = 0 AS unparsed
-FROM r JOIN t USING (varname, year) JOIN lane USING (varname) WHERE UNITID IS NOT NULL AND varname <> '' GROUP BY UNITID, year, varname"""
-
+_P1_LONG = """, cells AS (
+ SELECT UNITID, year, varname, list(num ORDER BY loaded_at DESC, row_id DESC) FILTER (num IS NOT NULL)[1] AS num, CAST(NULL AS VARCHAR) AS text FROM r JOIN kind USING (varname)
+  WHERE has_num AND UNITID IS NOT NULL AND varname <> '' GROUP BY UNITID, year, varname
+ UNION ALL SELECT UNITID, year, varname || CASE WHEN any_value(has_num) THEN '_TEXT' ELSE '' END, NULL,
+   list(value ORDER BY loaded_at DESC, row_id DESC) FILTER (value IS NOT NULL AND (NOT has_num OR num IS NULL))[1] FROM r JOIN kind USING (varname)
+  WHERE NOT all_num AND UNITID IS NOT NULL AND varname <> '' GROUP BY UNITID, year, varname)
+"""
+P1_LONG = _P1 + _P1_LONG + "SELECT * FROM cells WHERE num IS NOT NULL OR text IS NOT NULL"
 
 # --- p2: differences between two copies
 
@@ -270,11 +268,11 @@ SELECT row_id, UNITID, r.year, r.sf AS source_file, coalesce(f.field, r.v) AS fi
  CASE WHEN number IS NULL THEN value END AS text, f.field IS NOT NULL AS resolved FROM rows r LEFT JOIN final f ON f.sf = r.sf AND f.year = r.year AND f.v = r.v LEFT JOIN kind k ON k.sf = f.sf AND k.field = f.field"""
 
 QUERIES = {
-    "p1_found": p1_found, "p1_wide": p1_wide, "p1_cells": p1_cells, "p2_found": p2_found, "p2_summary": p2_summary,
+    "p1_found": p1_found, "p1_wide": p1_wide, "p1_long": p1_long, "p2_found": p2_found, "p2_summary": p2_summary,
     "p4_found": p4_found, "p4_profile": p4_profile, "p4_loads": p4_loads, "p4_drift": p4_drift, "p5_found": p5_found, "p5_periods": p5_periods, "p5_state": p5_state, "p5_reopened": p5_reopened,
     "p6_found": p6_found, "p6_schemas": p6_schemas, "p6_consistent": p6_consistent,
 }
 ORACLES = {
-    "p1_found": P1_FOUND, "p1_cells": P1_CELLS, "p2_found": P2_FOUND, "p2_summary": P2_SUMMARY, "p4_found": P4_FOUND, "p4_profile": P4_PROFILE, "p4_loads": P4_LOADS,
+    "p1_found": P1_FOUND, "p1_long": P1_LONG, "p2_found": P2_FOUND, "p2_summary": P2_SUMMARY, "p4_found": P4_FOUND, "p4_profile": P4_PROFILE, "p4_loads": P4_LOADS,
     "p4_drift": P4_DRIFT, "p5_found": P5_FOUND, "p5_periods": P5_PERIODS, "p5_state": P5_STATE, "p5_reopened": P5_REOPENED, "p6_found": P6_FOUND, "p6_schemas": P6_SCHEMAS, "p6_consistent": P6_CONSISTENT,
 }

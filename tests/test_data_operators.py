@@ -50,8 +50,22 @@ def test_wide_table_ties_blocks_and_clashes(spark):
     small = {r.UNITID: r.asDict() for r in eav.wide_table(extra, block=2).collect()}
     large = {r.UNITID: r.asDict() for r in eav.wide_table(df, block=48).collect()}
     assert small == large
-    kept = {k: v for k, v in large[1].items() if k.startswith("V")}
-    assert all(float(v) == 63 + int(k[1:]) for k, v in kept.items())  # equal times: the larger row id
+    kept = {k: v for k, v in large[1].items() if k.startswith("V") and v is not None}
+    assert len(kept) == 7 and all(float(v) == 63 + int(k[1:2]) for k, v in kept.items())  # equal times: the larger row id
+
+
+def test_mixed_attributes_keep_numbers_and_texts(spark):
+    """Numeric in 2020 only: a second column holds what is no number, so no value is lost without a trace."""
+    df = panel(spark, [(1, 2020, 1, "M", "1", "5", "num", "S", 1), (2, 2021, 1, "M", "1", "B", "char", "S", 1), (3, 2021, 2, "M", "1", "6", "char", "S", 1), (4, 2020, 2, "M", "1", "C", "num", "S", 1), (5, 2022, 1, "M", "1", "Z", None, "S", 1)])
+    got = {(r.UNITID, r.year): (r.M, r.M_TEXT, r.unparsed) for r in eav.wide_table(df).collect()}
+    assert got == {(1, 2020): (5.0, None, []), (1, 2021): (None, "B", []), (2, 2021): (6.0, None, []), (2, 2020): (None, "C", ["M"]), (1, 2022): (None, "Z", [])}
+
+
+def test_levels_of_the_join_tree_change_nothing(spark, folder, monkeypatch):
+    df = spark.read.parquet(f"{folder}/panel_long.parquet")
+    one = rows_of(eav.melted(eav.wide_table(df)), "UNITID", "year", "varname", "num", "text")
+    monkeypatch.setattr(eav, "FAN", 3)
+    assert rows_of(eav.melted(eav.wide_table(df, block=16)), "UNITID", "year", "varname", "num", "text") == one and len(one) > 1000
 
 
 def test_wide_table_empty(spark):
