@@ -2,8 +2,9 @@
 
 Each passage (sentence or line) of a document gives dense features, and a document scores as its worst passage, as one is
 enough to make it offensive. Judgements are of documents, so the trees are boosted twice: first with the passage of each
-offensive document that has most evidence, then with the one that the first trees score highest. Scores are calibrated on
-predictions for held-out halves, and every document gets a probability.
+offensive document that has most evidence, then with the one that the first trees score highest. The judged documents are
+split into halves and each half has a model of its own, word weights included; scores are calibrated on the predictions for
+the other half. A judged document is scored by the model that has not seen it, all others by the mean of both.
 """
 
 from __future__ import annotations
@@ -16,75 +17,70 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.functions import text as T
 from panelloom.runtime import materialise, pick
 
-# Lexicons, without accents, in English, Spanish, French and German.
+# Lexicons of common knowledge, without accents, in English, Spanish, French and German. What the project's own documents say
+# beyond them is learned from the judgements, never listed here.
 LEXICON = {
-    "insult": """idiot idiots moron morons imbecile cretin retard retards retarded stupid dumb brainless worthless pathetic loser losers scum
-        scumbag garbage filth filthy pig pigs clown freak freaks bastard bastards bitch bitches asshole assholes arsehole jerk fool useless
-        lazy ugly fat toothless fraud liar lying coward monkey trash twat prick wanker bugger git cow rat rats skin
-        idiota idiotas imbecil estupido estupida inutil asqueroso asquerosa cerdo basura cabron pendejo gilipollas tonto payaso
-        connard connards connasse abruti salaud salope ordure encule batard debile pauvre sale bouffon
-        arschloch trottel wichser hurensohn schlampe missgeburt dreckskerl abschaum depp dummkopf versager drecksau""",
-    "profane": """fuck fucks fucking fucked fucker motherfucker shit shits shitty bullshit piss cunt dickhead puta puto mierda joder carajo hijo
-        putain merde foutre gueule bordel pute scheisse verdammt scheiss fresse verpiss fotze""",
-    "mild": "damn damned crap hell bloody mess heck darn angry",
-    "violence": """kill killed killing murder beat beaten beating choke strangle stab stabbed shoot shot burn hang hanged drown drowned rape smash break
-        bones teeth fingers knife gun stretcher throat punch kick slap bleed clubs hurt sorry
-        matar matare rompo romper romperte cara golpear muerte mueras muerete tuer tue creve casse casser dents frapper gorge
-        umbringen toten schlagen brechen zahne stirb verrecke kopf schlage""",
-    "harm": "die dies dead rot breathing suicide roof jump bus dropped starve birth grave sick mueras ojala mourir crever sterben stirbst",
-    "dehuman": """vermin subhuman rats disease animals parasites cockroaches breed cradle steal soul eaters lower plague savages monkeys apes scum
-        ratas plaga echarlos parasitos vermine cafards dehors nuisibles ungeziefer untermenschen parasiten ratten weg""",
-    "sexual": """cock cocks dick dicks pussy tits boobs cum cumming moaning moaned naked nude nudes horny slut sluts whore whores suck sucked sucking
-        licked lick erection orgasm blowjob porn porno ass arse thrust undressed
-        follar follarte polla desnuda desnudo tetas chupar mamada coger baiser bite nue nus seins sucer chatte
+    "insult": """idiot idiots moron morons imbecile imbeciles cretin retard retards retarded stupid dumb brainless worthless pathetic loser losers
+        scum scumbag garbage filth filthy pig pigs clown freak freaks bastard bastards bitch bitches asshole assholes arsehole jerk fool useless
+        ugly fat liar liars coward cowards trash twat prick wanker bugger git cow rat
+        idiota idiotas imbecil estupido estupida estupidos inutil asqueroso asquerosa cerdo cerda basura cabron pendejo gilipollas tonto tonta payaso zorra
+        connard connards connasse abruti salaud salope ordure encule batard debile bouffon cretin imbecile
+        arschloch arschlocher trottel wichser hurensohn schlampe missgeburt dreckskerl abschaum depp dummkopf versager idioten""",
+    "profane": """fuck fucks fucking fucked fucker fuckers motherfucker shit shits shitty bullshit piss cunt cunts dickhead puta putas puto mierda joder carajo
+        putain merde foutre gueule bordel pute putes scheisse verdammt scheiss fresse verpiss fotze""",
+    "mild": "damn damned crap hell bloody mess heck darn",
+    "violence": """kill kills killed killing murder beat beaten beating choke strangle stab stabbed shoot shot burn hang hanged drown rape smash break
+        cut hit hurt knife gun throat punch kick slap bleed
+        matar matare romper rompo golpear quemar tuer frapper casser etrangler bruler
+        umbringen toten schlagen brechen abstechen verbrennen""",
+    "harm": "die dies dead death rot suicide grave morir muerte muere mueras muerete mourir creve crever mort sterben stirb stirbst verrecke tot",
+    "dehuman": """vermin subhuman subhumans rats animals parasites parasite cockroaches disease plague savages monkeys apes scum
+        ratas ratones animales plaga parasitos sabandijas vermine parasites cafards nuisibles animaux betes ungeziefer untermenschen parasiten ratten tiere""",
+    "sexual": """cock cocks dick dicks pussy tits boobs cum cumming moaning naked nude nudes horny slut sluts whore whores suck sucked sucking
+        lick licked licking erection orgasm blowjob porn porno ass arse anal
+        follar follarte polla desnuda desnudo desnudas tetas chupar mamada coger baiser bite nue nus seins sucer chatte
         ficken nackt nackte schwanz titten blasen muschi geil""",
-    "bodily": "sex bed knees legs clothes body breasts penis vagina skirt bra sexual sexo sexe",
-    "official": """conduct policy policies bans ban banned report reported reports recorded record form line lines column education screening breast
-        clinic health survey counselling prevention assault harassment statistics census course unit nursing team safety courses code
-        insults threats explicit gender women men count rate process job biathlon staff training drawing figure class anatomy kennel
-        vet pups pheasant farm forestry dam""",
-    "group": """foreigners immigrants migrants refugees cripples disabled women men jews muslims blacks whites gays lesbians gypsies natives peasants
-        people folk goers extranjeros mujeres inmigrantes etrangers femmes immigres auslander frauen fluchtlinge""",
-    "all_of": "all those these every each never keep los las todos tous toutes les alle diese",
+    "bodily": "sex bed body breasts breast penis vagina sexual sexo sexe sexuell",
+    "official": """conduct policy policies ban banned report reported record recorded form column education screening clinic health survey counselling
+        prevention assault harassment statistics census course safety code threats explicit gender count rate process training law court study
+        research data table student students staff university college""",
+    "group": """foreigners immigrants migrants refugees cripples disabled women men jews muslims christians blacks whites gays lesbians gypsies natives
+        extranjeros mujeres inmigrantes gitanos negros judios etrangers femmes immigres juifs arabes noirs auslander frauen fluchtlinge juden""",
+    "all_of": "all those these every each never los las todos todas tous toutes les alle diese",
     "second": "you your yours yourself yourselves u ur tu te ti eres tus usted vosotros toi ta ton tes vous votre du dich dir dein deine deinen ihr euch",
-    "self": "i my me myself mine own honestly we our yo mi je mon ma ich mein meine",
+    "self": "i my me myself mine we our yo mi je mon ma ich mein meine",
 }
-PHRASES = {
-    "threat": r"""watch your back|will be sorry|break your|rip your|find (?:out )?where you live|know (?:where|which)\b.{0,20}\byou|leave .{0,30}stretcher
-        |burn down the|drive them out|(?:be|get|gets) (?:beaten|shot|hanged|killed|drowned)|cut your|come for you|te rompo|te casse|te voy a|je vais te|bringe? dich um
-        |keep talking and|i will (?:kill|hurt|find|break|beat|burn|cut)|ich (?:bring|schlag)\w* d(?:ich|ir)|les dents|la cara""",
-    "wish": r"""drop(?:ped)? dead|stop breathing|drowned at birth|away and rot|rot in|(?:kill|hang) yourself|jump off|hit by a|choke on|hope (?:you|they|he|she|our|that|every)
-        .{0,40}(?:die|bus|dead|rot)|ojala te|mueras|creve|stirb|verreck|better off dead|end your life|would miss you|spit on you|spit on your""",
-    "hate": r"""(?:are|is|sind|son|sont) (?:all )?(?:vermin|animals|subhuman|a disease|parasites|rats|ratas|ungeziefer|de la vermine|des rats|scum|filth)|breed like|no soul
-        |only good .{0,40}dead|keep the .{0,40} out|out of the country|kind of human|not be counted|useless eaters|let them starve|rid of them
-        |never hire|lie and steal|in the kitchen|too stupid to|cleaner place without|without a single one|near a classroom|back to your|echarlos|mussen weg|doivent partir
-        |drag the|a disease in|they are animals|foutre dehors|raus mit|fuera los""",
-    "sexact": r"""pushed inside|between (?:the|her|his) legs|on (?:her|his) knees|clothes off|got hard|had sex|have sex|nudes|naked (?:women|men|girls)|full video|both came
-        |fuck (?:you|her|him|me) (?:on|all|hard|in)|dick is|licked (?:her|him)|sucked (?:his|her|him)|naked tits|bare ass|te follar|quiero follar|te baiser|dich (?:nackt|ficken)|toute nue|touching (?:myself|yourself)|live sex|wet (?:girls|women)|sex (?:show|chat|video)s?|send me .{0,12}nude""",
-    "insulting": r"""brain ?dead|nobody likes you|mother must be|nobody would|waste of|give up on you|gave up on you|trained monkey|go and cry|laughs? at (?:you|your)|make me sick
-        |shut (?:your|the)|you (?:are|re) (?:such )?an? (?!\w+ (?:user|unit))|piece of|sack of|only an? .{0,30} could|what an? |get lost|go fuck|fuck (?:you|off)|va te|ferme ta|callate|halt die|eres un|tu es un|du bist ein|pedazo de|hijo de|lick my|never been loved""",
-    "official": r"""code of conduct|sex as recorded|sexual (?:assault|harassment|health)|sex education|human sexuality|breast (?:cancer )?screening|explicit pictures|killed one job
-        |the process|shot count|separate lines|recorded sex|my own|honestly|statistics|same-sex|sex (?:ratio|distribution|of the)|figure drawing|vet school""",
+# Frames of speech that threaten, wish harm, command or debase, whatever the words in them.
+FRAMES = {
+    "threat": r"\b(?:i|we)(?: will| ll| am going to| are going to| should) (?:\w+ ){0,4}(?:you|your|yours|u)\b|\b(?:you will|you ll|you are going to) (?:\w+ ){0,2}(?:regret|pay|die|suffer|bleed|be sorry)\b|\bich werde? (?:\w+ )?d(?:ich|ir)\b|\bje vais te\b|\bte voy a\b",
+    "wish": r"\bhope (?:you|he|she|they|your)\b|\bojala (?:te|que)\b|\bj ?espere que tu\b|\bich hoffe (?:du|ihr)\b|\bdrop dead\b|\b(?:kill|hang|hurt) yourself\b|\bgo (?:and )?(?:die|rot|hang|kill)\b|\bbetter off dead\b",
+    "command": r"\bshut (?:up|your|the fuck)\b|\bgo fuck\b|\bfuck (?:you|off)\b|\bget lost\b|\bpiss off\b|\bcallate\b|\bvete a\b|\bva te\b|\bferme (?:la|ta)\b|\bhalt (?:die|dein)\b|\bverpiss dich\b",
+    "debase": r"\b(?:you|he|she|they|u) (?:are|re|is|r) (?:all |just |such |nothing but |only )?(?:an? )?(?:\w+ )?(?:$BAD)\b|\b(?:eres|son|sois|es) (?:un |una |unos |todos )?(?:$BAD)\b|\b(?:tu es|vous etes|ils sont|sont) (?:un |une |des |tous )?(?:$BAD)\b|\b(?:du bist|ihr seid|sie sind|sind) (?:ein |eine |alle )?(?:$BAD)\b",
+    "address": r"\byou (?:\w+ )?(?:$BAD)\b|\bdu (?:\w+ )?(?:$BAD)\b|\bespece d ?e? ?(?:$BAD)\b|\b(?:piece|sack) of (?:shit|garbage|trash|filth|crap)\b",
 }
 _LEX_OF: dict[str, list[int]] = {}
 for _k, _words in enumerate(LEXICON.values()):
     for _w in _words.split():
-        _LEX_OF.setdefault(_w, []).append(_k)
+        if _k not in _LEX_OF.setdefault(_w, []):
+            _LEX_OF[_w].append(_k)
 _HARD = {w for k in ("insult", "profane", "dehuman", "sexual") for w in LEXICON[k].split() if len(w) > 2}
+_BAD = "|".join(sorted({w for k in ("insult", "profane", "dehuman") for w in LEXICON[k].split()}))
 _BY_LENGTH: dict[tuple[int, str], list[str]] = {}
 for _w in sorted(_HARD):
     _BY_LENGTH.setdefault((len(_w), _w[0]), []).append(_w)
-_PHRASE = [re.compile(re.sub(r"\n\s*", "", p)) for p in PHRASES.values()]
+_FRAME = [re.compile(p.replace("$BAD", _BAD)) for p in FRAMES.values()]
 CATEGORIES = [*LEXICON]
-#: Names of the dense features, in order.
+_SIGNAL = {CATEGORIES.index(c) for c in ("insult", "profane", "violence", "harm", "dehuman", "sexual", "bodily")}
+#: Names of the dense features, in order; the last two come from the word weights.
 FEATURES = [
-    *[f"lex_{c}" for c in CATEGORIES], *[f"phrase_{p}" for p in PHRASES],
+    *[f"lex_{c}" for c in CATEGORIES], *[f"frame_{p}" for p in FRAMES],
     "second_near_insult", "second_near_violence", "group_near_dehuman", "insult_not_self", "hard_hidden", "hidden", "capitals", "exclamations",
     "density_hard", "evidence", "learned_max", "learned_sum",
 ]
@@ -92,16 +88,18 @@ FEATURES = [
 #: Features that can only speak for an offence: a tree may not let a larger value lower the score.
 RISING = [
     i for i, f in enumerate(FEATURES)
-    if f not in ("lex_mild", "lex_official", "lex_group", "lex_all_of", "lex_second", "lex_self", "lex_bodily", "phrase_official", "hidden", "capitals", "exclamations", "density_hard")
+    if f not in ("lex_mild", "lex_official", "lex_group", "lex_all_of", "lex_second", "lex_self", "lex_bodily", "hidden", "capitals", "exclamations", "density_hard")
 ]
 
-_TAG = re.compile(r"<[^<>]{0,300}>")
+#: A tag of any length; see the leak search.
+_TAG = re.compile(r"<(?:[/!?]?[A-Za-z]|!--)[^<>]*>")
 _SPLIT = re.compile(r"(?<=[.!?])\s+|\n+")
 _SPACED = re.compile(r"(?<![\w@$*])[^\W_](?:[ .\-_*][^\W_]){2,}(?![\w@$*])")
 _DOTTED = re.compile(r"(?<![\w.])[^\W_](?:\.[^\W_]){1,}[^\W_]*(?:\.[^\W_]+)*")
 _TOKEN = re.compile(r"[^\W_][\w@$*!]*[\w@$*]|[^\W_]|[@$][\w@$*]+")
 _LEET = str.maketrans("@$013457!", "asoieasti")
 _RUN = re.compile(r"(.)\1{2,}")
+_MARKS = regex.compile(r"[\p{Mn}\p{Cf}]+")
 
 
 def passages(text: str) -> list[str]:
@@ -111,8 +109,7 @@ def passages(text: str) -> list[str]:
     if "&" in text:
         text = html.unescape(text)
     if not text.isascii():
-        text = unicodedata.normalize("NFKD", text.replace("ß", "ss"))
-        text = "".join(c for c in text if unicodedata.category(c) not in ("Mn", "Cf"))
+        text = _MARKS.sub("", unicodedata.normalize("NFKD", text.replace("ß", "ss")))
     return [p for p in _SPLIT.split(text) if p and not p.isspace()]
 
 
@@ -159,46 +156,80 @@ def grams(words: list[str]) -> list[str]:
 
 
 def _nearest(a: list[int], b: list[int]) -> float:
-    """1 for neighbours, falling with the distance; 0 if either is missing."""
-    return max((1.0 / (1 + abs(x - y) / 4) for x in a for y in b), default=0.0) if len(a) * len(b) < 10_000 else 1.0
-
-
-def passage_features(passage: str, learned: list[dict[str, float]]) -> list[float]:
-    """The dense features of one passage; ``learned``: word weights whose sums are averaged."""
+    """1 for the same place, falling with the least distance between two ascending lists of places; 0 if either is empty."""
+    if not a or not b:
+        return 0.0
+    i = j = 0
+    least = abs(a[0] - b[0])
+    while i < len(a) and j < len(b):
+        least = min(least, abs(a[i] - b[j]))
+        if a[i] < b[j]:
+            i += 1
+        else:
+            j += 1
+    return 1.0 / (1 + least / 4)
+
+
+def passage_features(passage: str) -> tuple[list[float], list[str]]:
+    """The dense features of one passage without those of the word weights, and its grams."""
     words, hidden, hard = tokens(passage)
+    own = grams(words)
     at: list[list[int]] = [[] for _ in CATEGORIES]
+    signal = hard > 0
     for i, w in enumerate(words):
         for k in _LEX_OF.get(w, ()):
             at[k].append(i)
-    flat = " ".join(words)
-    phrase = [min(3, len(p.findall(flat))) for p in _PHRASE]
-    n = max(1, len(words))
+            signal = signal or k in _SIGNAL
+    letters = sum(map(str.isalpha, passage))
+    capitals = sum(map(str.isupper, passage)) / (letters + 8)
+    style = [float(hard), float(hidden), capitals, passage.count("!") / len(passage)]
+    if signal or at[CATEGORIES.index("second")]:
+        flat = " ".join(words)
+        frames = [float(len(p.findall(flat))) for p in _FRAME]
+    else:
+        frames = [0.0] * len(_FRAME)
     c = dict(zip(CATEGORIES, at))
-    counts = [min(len(x), 5) for x in at]
-    letters = sum(ch.isalpha() for ch in passage)
-    capitals = sum(ch.isupper() for ch in passage) / letters if letters > 8 else 0.0
-    bad = [*c["insult"], *c["profane"]]
-    strong = phrase[0] + phrase[1] + phrase[2] + phrase[3] + phrase[4]
+    bad = sorted([*c["insult"], *c["profane"]])
     near = _nearest(c["second"], bad)
-    evidence = 2.0 * strong + len(c["profane"]) + 0.7 * len(c["insult"]) + len(c["sexual"]) + 0.5 * len(c["dehuman"]) + hard + near - 1.5 * phrase[5]
-    unlike_self = float(bool(bad) and not c["self"])
-    got = [0.0, 0.0]
-    if learned:
-        own = grams(words)
-        for table in learned:
-            weights = [table[g] for g in own if g in table]
-            got[0] += max(weights, default=0.0) / len(learned)
-            got[1] += min(sum(weights), 40.0) / len(learned)
+    strong = len(bad) + len(c["sexual"]) + len(c["dehuman"])
+    evidence = 2.0 * sum(frames[1:]) + frames[0] * (1 + len(c["violence"])) + len(c["profane"]) + 0.7 * len(c["insult"]) + len(c["sexual"]) + 0.5 * len(c["dehuman"]) + hard + near
     return [
-        *counts, *phrase, near, _nearest(c["second"], [*c["violence"], *c["harm"]]), _nearest([*c["group"], *c["all_of"]], c["dehuman"]), unlike_self,
-        float(hard), float(hidden), capitals, passage.count("!") / len(passage), (len(bad) + len(c["sexual"]) + len(c["dehuman"])) / n, evidence, *got,
-    ]
-
-
-def document_features(text: str | None, learned: list[dict[str, float]]) -> np.ndarray:
-    """One row per different passage of a document, repeats left out; a row of zeros for null and empty texts."""
-    rows = [passage_features(p, learned) for p in dict.fromkeys(passages(text or ""))]
-    return np.unique(np.round(np.array(rows or [[0.0] * len(FEATURES)], dtype=np.float32), 2), axis=0)
+        *map(float, map(len, at)), *frames, near, _nearest(c["second"], sorted([*c["violence"], *c["harm"]])), _nearest(sorted([*c["group"], *c["all_of"]]), c["dehuman"]),
+        float(bool(bad) and not c["self"]), *style, strong / max(1, len(words)), evidence,
+    ], own
+
+
+def learned_features(own: list[str], weights: dict[str, float]) -> list[float]:
+    """The largest word weight of a passage and their sum."""
+    found = [weights[g] for g in own if g in weights]
+    return [max(found, default=0.0), sum(found)]
+
+
+class Scorer:
+    """Passage features of documents; a passage that stands in several documents of a task is worked out once."""
+
+    def __init__(self, weights: list[dict[str, float]], keep: int = 100_000) -> None:
+        self.weights, self.keep = weights, keep
+        self.known: dict[str, tuple] = {}
+
+    def document(self, text: str | None) -> tuple[np.ndarray, list[np.ndarray]]:
+        """The different passages of a document: base features, and learned features per word-weight table. Null and empty
+        texts have one row of zeros."""
+        base, learned = [], [[] for _ in self.weights]
+        for p in dict.fromkeys(passages(text or "")):
+            got = self.known.get(p)
+            if got is None:
+                row, own = passage_features(p)
+                got = (row, [learned_features(own, w) for w in self.weights])
+                if len(self.known) >= self.keep:
+                    self.known.clear()
+                self.known[p] = got
+            base.append(got[0])
+            for k, x in enumerate(got[1]):
+                learned[k].append(x)
+        if not base:
+            base, learned = [[0.0] * (len(FEATURES) - 2)], [[[0.0, 0.0]] for _ in self.weights]
+        return np.array(base, dtype=np.float32), [np.array(x, dtype=np.float32) for x in learned]
 
 
 # --- trees and calibration
@@ -285,25 +316,6 @@ def isotonic(score: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return xs, np.array([b[2] for b in blocks for _ in (0, 1)])
 
 
-@dataclass
-class Model:
-    """Everything the workers need: learned word weights, trees and the calibration curve."""
-
-    learned: list[dict[str, float]]
-    trees: Trees | None
-    curve: tuple[np.ndarray, np.ndarray] | None
-
-    def probabilities(self, documents: list[np.ndarray]) -> np.ndarray:
-        """Of each document, given as its passages' features."""
-        if not documents:
-            return np.zeros(0)
-        x = np.concatenate(documents)
-        first = np.concatenate([[0], np.cumsum([len(d) for d in documents])[:-1]])
-        if self.trees is None or self.curve is None:
-            return 1 / (1 + np.exp(-1.5 * (np.maximum.reduceat(x[:, FEATURES.index("evidence")], first) - 2.0)))
-        return np.interp(np.maximum.reduceat(self.trees.margin(x), first), *self.curve)
-
-
 def boost_passages(x: np.ndarray, doc: np.ndarray, y: np.ndarray) -> Trees:
     """Trees from the passages of judged documents (``doc`` ascending): all passages of harmless documents, and of each
     offensive one the passage that stands out most, chosen by evidence first and by the trees so made the second time."""
@@ -319,11 +331,11 @@ def boost_passages(x: np.ndarray, doc: np.ndarray, y: np.ndarray) -> Trees:
     return trees
 
 
-#: The classifier is fitted on at most so many labelled documents, taken in the order of a hash of their id.
+#: The classifier is fitted on at most so many labelled documents, taken in the order of a hash of their id, and at most so
+#: many passages of each, those with most evidence.
 MAX_LABELLED = 20_000
-#: Word weights that a learned lexicon holds at most, the strongest first: the size of the model.
-MAX_WEIGHTS = 4_000
-#: With fewer documents of either judgement than this, the score is the lexicon evidence alone.
+MAX_PASSAGES = 200
+#: With fewer documents of either judgement in a half than this, the score is the lexicon evidence alone.
 MIN_EACH = 12
 
 
@@ -345,74 +357,124 @@ def choose(rows: DataFrame, most: int = MAX_LABELLED) -> DataFrame:
     return rows.orderBy(order, "doc_id").limit(most)
 
 
-def _gram_udf():
-    def each(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            rows = [(d, y, h, sorted({g for p in passages(t or "") for g in grams(tokens(p)[0])})) for d, y, h, t in zip(b.doc_id, b.y, b.half, b.text)]
-            yield pd.DataFrame(rows, columns=["doc_id", "y", "half", "grams"])
-
-    return each
-
-
-def learn_lexicon(sample: DataFrame, half: int) -> dict[str, float]:
-    """Log-odds weights of words and word pairs in the offensive documents of one half of the labelled sample."""
-    rows = sample.where(F.col("half") == half)
+def learn_weights(words: DataFrame, fold: int) -> dict[str, float]:
+    """Log-odds weights of words and word pairs in the offensive documents of one fold: all that stand in two or more of them
+    and are clearly more frequent there. Their number is bounded by the labelled sample."""
+    rows = words.where(F.col("fold") == fold)
     total = {r["y"]: r["count"] for r in rows.groupBy("y").count().collect()}
     pos, neg = total.get(1, 0), total.get(0, 0)
     if not pos or not neg:
         return {}
     seen = rows.select("y", F.explode("grams").alias("gram")).groupBy("gram").agg(F.sum("y").alias("a"), F.sum(1 - F.col("y")).alias("b")).where("a >= 2")
     odds = F.log((F.col("a") + 0.3) / (pos + 0.6)) - F.log((F.col("b") + 0.3) / (neg + 0.6))
-    best = seen.withColumn("w", odds).where("w > 2").orderBy(F.desc("w"), F.desc("a"), "gram").limit(MAX_WEIGHTS).collect()
-    return {r["gram"]: float(r["w"]) for r in best}
+    return {r["gram"]: float(r["w"]) for r in seen.select("gram", odds.alias("w")).where("w > 2").collect()}
 
 
-def fit(documents: DataFrame, labels: DataFrame) -> Model:
-    """The model of the labelled documents. Lexicons are learned on one half and used on the other, so that no document's
-    features come from its own judgement; calibration likewise uses predictions for the other half."""
-    half = F.pmod(F.xxhash64("doc_id"), F.lit(2)).cast("int").alias("half")
-    chosen = F.broadcast(choose(judged(labels)))  # at most MAX_LABELLED ids
-    sample = materialise(documents.select("doc_id", "text").join(chosen, "doc_id").select("doc_id", "y", half, "text"), "labelled")
-    words = materialise(sample.mapInPandas(_gram_udf(), "doc_id long, y int, half int, grams array<string>"), "grams")
-    lexicons = [learn_lexicon(words, 0), learn_lexicon(words, 1)]
+def _merged(a: dict[str, float], b: dict[str, float]) -> dict[str, float]:
+    """The mean of two tables; a word that one lacks weighs nothing there."""
+    return {g: (a.get(g, 0.0) + b.get(g, 0.0)) / 2 for g in {**a, **b}}
 
-    def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+@dataclass
+class Model:
+    """What the workers need: per half its word weights and trees, and the curve that calibrates their margins."""
+
+    weights: list[dict[str, float]]
+    trees: list[Trees] | None
+    curve: tuple[np.ndarray, np.ndarray] | None
+
+    def probability(self, base: np.ndarray, learned: list[np.ndarray], half: int | None) -> float:
+        """Of one document. ``half``: that of a judged document, which only the other half's model may score."""
+        if self.trees is None or self.curve is None:
+            return float(1 / (1 + np.exp(-1.5 * (base[:, FEATURES.index("evidence")].max() - 2.0))))
+        use = [0, 1] if half is None else [1 - half]
+        return float(np.mean([np.interp(self.trees[k].margin(np.hstack([base, learned[k]])).max(), *self.curve) for k in use]))
+
+    def probabilities(self, documents: list[tuple[np.ndarray, list[np.ndarray]]], halves: list[int | None]) -> np.ndarray:
+        """Of many documents at once."""
+        if self.trees is None or self.curve is None or not documents:
+            return np.array([self.probability(b, x, h) for (b, x), h in zip(documents, halves)])
+        first = np.concatenate([[0], np.cumsum([len(b) for b, _ in documents])[:-1]])
+        got = []
+        for k in (0, 1):
+            x = np.concatenate([np.hstack([b, learned[k]]) for b, learned in documents])
+            rows, where = np.unique(x, axis=0, return_inverse=True)
+            got.append(np.interp(np.maximum.reduceat(self.trees[k].margin(rows)[where.reshape(-1)], first), *self.curve))
+        seen = np.array([-1 if h is None else h for h in halves])
+        return np.where(seen == 0, got[1], np.where(seen == 1, got[0], (got[0] + got[1]) / 2))
+
+
+def folds(labels: DataFrame) -> DataFrame:
+    """(doc_id, y, fold) of the labelled sample; folds 0 and 1 are one half, 2 and 3 the other."""
+    return choose(judged(labels)).withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(4)).cast("int"))
+
+
+def fit(documents: DataFrame, chosen: DataFrame) -> Model:
+    """The models of the labelled documents (``chosen``: see :func:`folds`).
+
+    Within a half, word weights are learned on one fold and used for the other's training features, so that no document's
+    features come from its own judgement; the other half sees the mean of both.
+    """
+    sample = materialise(documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "fold", "text"), "labelled")  # at most MAX_LABELLED ids
+
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(d, y, h, r.tolist()) for d, y, h, t in zip(b.doc_id, b.y, b.half, b.text) for r in document_features(t, [lexicons[1 - h]])]
-            yield pd.DataFrame(rows, columns=["doc_id", "y", "half", "x"])
+            rows = [(y, f, sorted({g for p in passages(t or "") for g in grams(tokens(p)[0])})) for y, f, t in zip(b.y, b.fold, b.text)]
+            yield pd.DataFrame(rows, columns=["y", "fold", "grams"])
+
+    words = materialise(sample.mapInPandas(cut, "y int, fold int, grams array<string>"), "grams")
+    tables = [learn_weights(words, k) for k in range(4)]
+    weights = [_merged(tables[0], tables[1]), _merged(tables[2], tables[3])]
 
-    # The passages of at most MAX_LABELLED documents, as one table of floats.
-    got = sample.mapInPandas(featurise, "doc_id long, y int, half int, x array<float>").toArrow()
+    def featurise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer([*tables, *weights])
+        for b in batches:
+            rows = []
+            for d, y, f, t in zip(b.doc_id, b.y, b.fold, b.text):
+                base, learned = scorer.document(t)
+                x = np.hstack([base, learned[f ^ 1], learned[5 - f // 2]])
+                x = np.unique(np.round(x, 2), axis=0)
+                if len(x) > MAX_PASSAGES:
+                    x = x[np.argsort(-x[:, FEATURES.index("evidence")] - x[:, -1] - x[:, -3], kind="stable")[:MAX_PASSAGES]]
+                rows += [(d, y, f, r.tolist()) for r in x]
+            yield pd.DataFrame(rows, columns=["doc_id", "y", "fold", "x"])
+
+    # At most MAX_LABELLED documents of at most MAX_PASSAGES passages, as one table of floats.
+    got = sample.mapInPandas(featurise, "doc_id long, y int, fold int, x array<float>").toArrow()
     order = np.argsort(got["doc_id"].to_numpy(), kind="stable")
-    doc, y, h = (got[c].to_numpy()[order] for c in ("doc_id", "y", "half"))
-    x = np.concatenate([np.zeros(0, np.float32), *[c.flatten().to_numpy() for c in got["x"].chunks]]).reshape(-1, len(FEATURES))[order]
+    doc, y, fold = (got[c].to_numpy()[order] for c in ("doc_id", "y", "fold"))
+    x = np.concatenate([np.zeros(0, np.float32), *[c.flatten().to_numpy() for c in got["x"].chunks]]).reshape(-1, len(FEATURES) + 2)[order]
     first = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]])) if len(doc) else np.zeros(0, int)
-    if min((y[first] == 1).sum(), (y[first] == 0).sum()) < MIN_EACH:
-        return Model([t for t in lexicons if t], None, None)
+    half = fold // 2
+    for k in (0, 1):
+        if min(((y[first] == v) & (half[first] == k)).sum() for v in (0, 1)) < MIN_EACH:
+            return Model(weights, None, None)
+    n = len(FEATURES)
+    trees = [boost_passages(x[half == k, :n], doc[half == k], y[half == k]) for k in (0, 1)]
     held = np.zeros(len(y))
     for k in (0, 1):
-        train = h != k
-        if not (y[train] == 1).any() or not (y[train] == 0).any():
-            return Model([t for t in lexicons if t], None, None)
-        held[~train] = boost_passages(x[train], doc[train], y[train]).margin(x[~train])
-    return Model(lexicons, boost_passages(x, doc, y), isotonic(np.maximum.reduceat(held, first), y[first]))
+        held[half != k] = trees[k].margin(np.hstack([x[:, : n - 2], x[:, n:]])[half != k])
+    return Model(weights, trees, isotonic(np.maximum.reduceat(held, first), y[first]))
 
 
 def scores(documents: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
     """(doc_id, source, probability, offensive) of every document; null and empty texts score as texts without a passage.
 
-    A document without a judgement is scored by the same model; judgements of unknown documents are ignored. With too few
-    judgements of either kind the score rests on the lexicons alone.
+    Judgements of unknown documents are ignored. With too few judgements of either kind the score rests on the lexicons alone.
     """
     documents = pick(documents, "doc_id", "text", "source")
-    model = fit(documents, labels)
+    chosen = materialise(folds(labels), "chosen")
+    model = fit(documents, chosen)
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer = Scorer(model.weights)
         for b in batches:
-            p = model.probabilities([document_features(t, model.learned) for t in b.text])
+            halves = [None if pd.isna(h) else int(h) for h in b.half]
+            p = model.probabilities([scorer.document(t) for t in b.text], halves)
             yield pd.DataFrame({"doc_id": b.doc_id, "source": b.source, "probability": p})
 
-    rows = documents.select("doc_id", T.source_key(F.col("source")).alias("source"), "text")
+    known = chosen.select("doc_id", F.floor(F.col("fold") / 2).cast("int").alias("half"))
+    rows = documents.select("doc_id", T.source_key(F.col("source")).alias("source"), "text").join(F.broadcast(known), "doc_id", "left")
     got = rows.mapInPandas(score, "doc_id long, source string, probability double")
     return got.withColumn("offensive", F.col("probability") >= threshold)
 

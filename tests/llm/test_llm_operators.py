@@ -306,6 +306,32 @@ def test_hidden_spellings():
     assert abuse.tokens("room 101, e.g. 2019")[2] == 0
 
 
+def test_nearest_places_without_a_size_switch():
+    rng = random.Random(0)
+    for _ in range(200):
+        a, b = (sorted(rng.sample(range(400), rng.randint(1, 30))) for _ in range(2))
+        assert abuse._nearest(a, b) == 1 / (1 + min(abs(x - y) for x in a for y in b) / 4)
+    assert abuse._nearest(list(range(100)), list(range(5000, 5100))) == 1 / (1 + 4901 / 4) and abuse._nearest([], [1]) == 0
+
+
+def test_judged_documents_are_scored_by_the_other_half():
+    x = np.zeros((1, len(abuse.FEATURES) - 2), dtype=np.float32)
+    trees = [abuse.Trees(m, 1.0, []) for m in (-2.0, 3.0)]
+    model = abuse.Model([{}, {}], trees, (np.array([-5.0, 5.0]), np.array([0.0, 1.0])))
+    docs = [(x, [np.zeros((1, 2), np.float32)] * 2)] * 3
+    assert np.allclose(model.probabilities(docs, [0, 1, None]), [0.8, 0.3, 0.55])
+    assert np.allclose([model.probability(*docs[0], h) for h in (0, 1, None)], [0.8, 0.3, 0.55])
+
+
+def test_accuracy_on_held_out_judgements(spark, folder):
+    """Real documents: every judged one is scored by the model that has not seen it. A few judgements are wrong."""
+    d = folder.replace("sf0.001", "sf0.01")
+    docs, labels = (spark.read.parquet(f"{d}/{n}.parquet") for n in ("documents", "doc_labels"))
+    got = {r.doc_id: r.offensive for r in abuse.scores(docs, labels).collect()}
+    rows = [(r.y, got[r.doc_id]) for r in abuse.judged(labels).collect() if r.doc_id in got]
+    assert np.mean([bool(y) == g for y, g in rows]) >= 0.9
+
+
 def test_isotonic_is_monotone():
     rng = np.random.default_rng(0)
     s = rng.normal(size=200)
