@@ -173,6 +173,14 @@ def settle(lake: DataFrame, overrides: DataFrame) -> DataFrame:
     return many.select(*keys, "n_candidates").join(left, keys, "left").fillna(0, ["n_overrides", "n_selected"]).withColumn("settled", (F.col("n_overrides") == 1) & (F.col("n_selected") == 1))
 
 
+def ambiguity_gate(lake: DataFrame, overrides: DataFrame) -> DataFrame:
+    """Ambiguous keys that no override settles; GateError if there are any."""
+    open_ = settle(lake, overrides).where("not settled")
+    if rows := open_.orderBy("year", "source_file", "access_table_name", "varname").limit(10).collect():
+        raise GateError(f"ambiguous without an override: {[tuple(r)[:4] for r in rows]}")
+    return open_
+
+
 def best_text(c: Column) -> Column:
     """An aggregate: the longest text that isn't null-like, the first in order among equals; null if there is none."""
     t = T.strip(c)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelloom.operators.compare import multiset_difference, schema_difference
-from panelloom.operators.longform import GateError, key_nulls
+from panelloom.operators.longform import GateError, key_nulls, year_difference
 
 
 @dataclass(frozen=True)
@@ -40,8 +40,8 @@ def acceptance(long: DataFrame, wide: DataFrame, clean: DataFrame, years: list[i
     """
     checks = []
     for name, df in (("long", long), ("wide", wide), ("clean", clean)):
-        seen = {r.year for r in df.select("year").distinct().limit(10_000).collect()}
-        checks.append(Check(f"{name}_years", seen == set(years), f"{len(seen)} years"))
+        lost, odd = year_difference(df, years)
+        checks.append(Check(f"{name}_years", not lost and not odd, f"missing {lost}, unexpected {odd}"))
     lost = {r.key: r.n_missing for r in key_nulls(long).collect()}
     checks.append(Check("long_key_nulls", not any(lost.values()), str(lost)))
     for name, df in (("wide", wide), ("clean", clean)):

@@ -80,9 +80,33 @@ def key_nulls(panel: DataFrame, keys: list[str] | None = None) -> DataFrame:
 def check_stitched(panel: DataFrame, years: list[int]) -> None:
     """Gate: exactly the expected years and no missing key."""
     bad = [r.key for r in key_nulls(panel).where("n_missing > 0").collect()]
-    seen = {r.year for r in panel.select("year").where("year is not null").distinct().limit(10_000).collect()}
-    if bad or seen != set(years):
-        raise GateError(f"missing keys in {bad}; years missing {sorted(set(years) - seen)}, unexpected {sorted(seen - set(years))}")
+    lost, odd = year_difference(panel, years)
+    if bad or lost or odd:
+        raise GateError(f"missing keys in {bad}; years missing {lost}, unexpected {odd}")
+
+
+def year_difference(panel: DataFrame, years: list[int]) -> tuple[list[int], list[int]]:
+    """Years that are wanted and missing, and those that are there unasked; null years aside."""
+    seen = {r.year for r in panel.select("year").where("year is not null").distinct().collect()}  # one number per year
+    return sorted(set(years) - seen), sorted(seen - set(years))
+
+
+def release_gate(inventory: DataFrame, years: list[int], wanted: str = "final", strict: bool = True) -> DataFrame:
+    """(year, release_type) of wanted years whose release is of another type or unknown; GateError if strict and there are any."""
+    kinds = inventory.where(F.col("year").isin(years)).groupBy("year").agg(F.max(F.lower(T.strip(F.col("release_type")))).alias("release_type"))
+    asked = inventory.sparkSession.createDataFrame([(y,) for y in years], "year int")
+    odd = asked.join(kinds, "year", "left").where(F.coalesce(F.col("release_type"), F.lit("")) != wanted.lower())
+    if strict and (rows := odd.orderBy("year").collect()):
+        raise GateError(f"no {wanted} release: {[(r.year, r.release_type) for r in rows]}")
+    return odd
+
+
+def unit_gate(panel: DataFrame, strict: bool = False) -> DataFrame:
+    """Tables with rows without UNITID, as :func:`missing_units` counts them; GateError if strict and there are any."""
+    bad = missing_units(panel).where("n_missing > 0")
+    if strict and (rows := bad.orderBy("year", "access_table_name").limit(10).collect()):
+        raise GateError(f"rows without UNITID: {[(r.year, r.access_table_name, r.n_missing) for r in rows]}")
+    return bad
 
 
 def missing_units(panel: DataFrame) -> DataFrame:

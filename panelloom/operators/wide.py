@@ -17,8 +17,6 @@ from panelloom.runtime import bounded
 CONFLICT_KEY = ["UNITID", "year", "varnumber", "source_file"]
 STAGE = ["UNITID", "year", "varname", "value", "value_norm", "source_file", "varnumber"]
 NUMERIC_FORMATS = T.NUMERIC_MARKERS
-#: Columns that a wide table can have at most.
-MAX_TARGETS = 20_000
 STRING_FORMATS = ("disc", "discrete", "char", "string", "text", "categorical", "category")
 
 
@@ -140,18 +138,22 @@ def indicator_conflicts(active: DataFrame, choice: DataFrame, high_from: int = 2
     ).withColumn("signal_level", F.when(expected, "expected").when(F.col("row_count") >= high_from, "high").otherwise("low"))
 
 
-def collapse(base: DataFrame, indicators: DataFrame, choice: DataFrame, suffix: str = "_CAT") -> DataFrame:
-    """Rows without the family members, plus one row per unit, year and family with exactly one member on.
+def collapse(base: DataFrame, indicators: DataFrame, choice: DataFrame, suffix: str = "_CAT", drop_members: bool = True) -> DataFrame:
+    """Rows without the family members (with them unless ``drop_members``), plus one row per unit, year and family with exactly one member on.
 
-    Output names are the families' own; a family whose name is a variable already gets the suffix.
+    Output names are planned over all families: the family's own, with the suffix if that is a variable already, then numbered.
+    Collapsed rows have ``origin`` 1, others 0, so that :func:`final_rows` puts them last.
     """
-    taken = base.select(F.col("varname").alias("base")).distinct()
-    name = choice.where("n_active = 1").join(bounded(taken.withColumn("_taken", F.lit(True))), "base", "left")
-    made = name.select(
-        "UNITID", "year", F.when(F.col("_taken"), F.concat("base", F.lit(suffix))).otherwise(F.col("base")).alias("varname"), F.col("chosen_suffix").alias("value"),
-        F.col("chosen_suffix").alias("value_norm"), F.lit("").alias("source_file"), F.lit("").alias("varnumber"),
+    bases = [r.base for r in choice.select("base").distinct().collect()]  # families: metadata
+    taken = {r.varname for r in base.select("varname").distinct().collect()}  # variables: metadata
+    spark = base.sparkSession
+    names = spark.createDataFrame(list(collapsed_names(bases, taken, suffix).items()), "base string, _name string")
+    made = choice.where("n_active = 1").join(bounded(names), "base").select(
+        "UNITID", "year", F.col("_name").alias("varname"), F.col("chosen_suffix").alias("value"),
+        F.col("chosen_suffix").alias("value_norm"), F.lit("").alias("source_file"), F.lit("").alias("varnumber"), F.lit(1).alias("origin"),
     )
-    return base.join(bounded(indicators.select("varname")), "varname", "left_anti").select(*STAGE).unionByName(made)
+    rest = base.join(bounded(indicators.select("varname")), "varname", "left_anti") if drop_members else base
+    return rest.select(*STAGE, F.lit(0).alias("origin")).unionByName(made)
 
 
 def duplicate_groups(base: DataFrame) -> DataFrame:
@@ -162,11 +164,12 @@ def duplicate_groups(base: DataFrame) -> DataFrame:
 def final_rows(base: DataFrame, prefer_non_null: bool = False) -> DataFrame:
     """One row per unit, year and variable: the first by source, number and value, where a null value sorts as ''.
 
-    So a null beats a value of the same source unless ``prefer_non_null`` is set. A minimum of one struct does it, which
-    combines rows before the shuffle.
+    So a null beats a value of the same source unless ``prefer_non_null`` is set. Rows that :func:`collapse` made come last. A
+    minimum of one struct does it, which combines rows before the shuffle.
     """
     blank = F.col("value_norm").isNull().cast("int") if prefer_non_null else F.lit(0)
-    order = F.struct(blank.alias("b"), "source_file", "varnumber", F.coalesce("value_norm", F.lit("")).alias("vn"), F.coalesce("value", F.lit("")).alias("v"), "value_norm", "value")
+    origin = F.col("origin") if "origin" in base.columns else F.lit(0)
+    order = F.struct(blank.alias("b"), origin.alias("o"), "source_file", "varnumber", F.coalesce("value_norm", F.lit("")).alias("vn"), F.coalesce("value", F.lit("")).alias("v"), "value_norm", "value")
     kept = base.groupBy("year", "UNITID", "varname").agg(F.min(order).alias("m"))
     return kept.select("UNITID", "year", "varname", "m.value", "m.value_norm", "m.source_file", "m.varnumber")
 
@@ -186,6 +189,17 @@ def pivot(final: DataFrame, keys: DataFrame, targets: list[str], numeric: set[st
     return keys.join(wide, ["year", "UNITID"], "left").select("year", "UNITID", *targets)
 
 
+def pivot_blocks(final: DataFrame, keys: DataFrame, targets: list[str], numeric: set[str] = frozenset(), block: int = 48) -> DataFrame:
+    """:func:`pivot` of any number of targets: some columns at a time, outer-joined to the spine without a further shuffle."""
+    out = keys.select("year", "UNITID").distinct()
+    for k in range(0, len(targets), block):
+        some = targets[k : k + block]
+        rows = final.where(F.col("varname").isin(some))
+        aggs = [F.max(F.when(F.col("varname") == t, T.read_plain_double(F.col("value_norm")) if t in numeric else F.col("value_norm"))).alias(t) for t in some]
+        out = out.join(rows.groupBy("year", "UNITID").agg(*aggs).hint("merge"), ["year", "UNITID"], "left")
+    return out.select("year", "UNITID", *targets)
+
+
 def order_targets(targets) -> list[str]:
     """Names in order, each followed by its X-flag, then flags without a variable."""
     have, out = set(targets), []
@@ -197,8 +211,8 @@ def order_targets(targets) -> list[str]:
 def cast_report(final: DataFrame, targets: DataFrame) -> DataFrame:
     """(year, column, counts) of numeric targets: every year and target has a row, so zero rows show."""
     number = T.read_plain_double(F.col("value_norm"))
-    names = [r.varname for r in targets.select("varname").distinct().orderBy("varname").limit(MAX_TARGETS).collect()]  # columns of a table
-    grid = final.select("year").distinct().select("year", F.explode(F.lit(names).cast("array<string>")).alias("column"))
+    years = [r.year for r in final.select("year").distinct().collect()]  # one number per year
+    grid = targets.select(F.col("varname").alias("column")).distinct().select(F.explode(F.lit(years).cast("array<int>")).alias("year"), "column")
     counts = final.groupBy("year", F.col("varname").alias("column")).agg(F.count("value_norm").alias("non_empty_tokens"), F.count(number).alias("parsed_numeric_tokens"))
     out = grid.join(counts, ["year", "column"], "left").fillna(0, ["non_empty_tokens", "parsed_numeric_tokens"])
     return out.withColumn("failed_parse_tokens", F.col("non_empty_tokens") - F.col("parsed_numeric_tokens"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import time
 from pathlib import Path
 
@@ -23,10 +24,10 @@ VIEWS = {
     "target_lineage": "varname string, stage_rows long, stage_non_empty_rows long, scalar_rows long, scalar_non_empty_rows long",
 }
 
-#: The shipped queries; ``json_extract_string`` is registered as a SQL function.
+# The shipped queries with the settings they read; ``json_extract_string`` is registered as a SQL function.
 SAVED = {
     "recent_build_runs": """SELECT started_at, years_spec, lane_split, typed_output, persist_duckdb,
-        json_extract_string(config_json, '$.memory_limit') AS memory_limit, json_extract_string(config_json, '$.buckets') AS buckets
+        json_extract_string(config_json, '$.duckdb_memory_limit') AS memory_limit, json_extract_string(config_json, '$.scalar_conflict_buckets') AS buckets
         FROM inspect.build_runs ORDER BY started_at DESC NULLS LAST LIMIT 20""",
     "clean_panel_rows_by_year": "SELECT year, count(*) AS unitid_year_rows, count(DISTINCT UNITID) AS distinct_unitids FROM inspect.panel_clean GROUP BY year ORDER BY year NULLS LAST",
     "dictionary_source_coverage": """SELECT year, source_file, count(*) AS variable_rows, count(*) FILTER (WHERE trim(longDescription) <> '') AS with_long_description
@@ -63,9 +64,10 @@ class Catalog:
         else:
             sql = query
         sql = sql.strip().rstrip(";").strip()
-        for name in VIEWS:
-            sql = sql.replace(f"inspect.{name}", f"inspect_{name}")
-        return sql
+        # Views are named outside of quoted literals only; what stands between quotes stays as it is.
+        parts = sql.split("'")
+        parts[::2] = [re.sub(rf"\binspect\.({'|'.join(VIEWS)})\b", r"inspect_\1", p) for p in parts[::2]]
+        return "'".join(parts)
 
     def run(self, query: str) -> DataFrame:
         return self.spark.sql(self.text(query))

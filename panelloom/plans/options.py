@@ -38,7 +38,7 @@ class WideOptions:
 
 @dataclass(frozen=True)
 class HarmonizeOptions:
-    """Source tables to the long panel."""
+    """Source tables to the long panel; see :func:`panelloom.plans.pipeline.harmonise`."""
 
     years: str = ""
     strict_release: bool = True

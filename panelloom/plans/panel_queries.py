@@ -13,15 +13,16 @@ from panelloom.functions import labels as L
 from panelloom.functions import rules
 from panelloom.functions import sql as S
 from panelloom.functions import text as T
-from panelloom.operators import clean, compare, dictionary, gates, longform, monitor, profile, structure, wide
+from panelloom.operators import clean, compare, dictionary, eav, gates, longform, monitor, profile, structure, wide
 from panelloom.plans.catalog import Catalog
 from panelloom.plans.data_queries import table
+from panelloom.plans.options import WideOptions
+from panelloom.plans.pipeline import build
+from panelloom.runtime import materialise
 
 DIM_SOURCES, DIM_PREFIXES = ("LIBR",), ("FIN_",)
 FIELDS = ["INSTNM", "CONTROL", "SECTOR", "ICLEVEL", "OPEID", "PRCH_F", "FINVAL"]
 LINEAGE = {"INSTNM": "HD", "CONTROL": "HD", "SECTOR": "HD", "ICLEVEL": "HD|F_F", "OPEID": "HD", "PRCH_F": "FLAGS", "FINVAL": "F_FA"}
-TARGETS = ["ADMTOT", "APPTOT", "COHORT", "GRRATE", "HCTOT", "NETPRC", "RETPC", "STTOT", "TWTOT", "UNITNAME", "OWNKIND", "LVLCLASS"]
-NUMERIC = {"ADMTOT", "APPTOT", "COHORT", "GRRATE", "HCTOT", "NETPRC", "RETPC", "STTOT", "TWTOT"}
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -187,8 +188,8 @@ def indicator_choice(spark, d):
     return wide.indicator_choice(indicator_active(spark, d))
 
 
-@query(f"""{_ORD} SELECT UNITID, year, varname, value, value_norm, source_file, varnumber FROM kept ANTI JOIN ind USING (varname) UNION ALL
- SELECT UNITID, year, CASE WHEN base IN (SELECT varname FROM kept) THEN base || '_CAT' ELSE base END AS varname, chosen_suffix, chosen_suffix, '', '' FROM choice WHERE n_active = 1""")
+@query(f"""{_ORD} SELECT UNITID, year, varname, value, value_norm, source_file, varnumber, 0 AS origin FROM kept ANTI JOIN ind USING (varname) UNION ALL
+ SELECT UNITID, year, CASE WHEN base IN (SELECT varname FROM kept) THEN base || '_CAT' ELSE base END AS varname, chosen_suffix, chosen_suffix, '', '', 1 FROM choice WHERE n_active = 1""")
 def indicator_collapse(spark, d):
     rows, groups = order_indicators(spark, d)
     return wide.collapse(rows, groups, wide.indicator_choice(wide.active_indicators(rows, groups)))
@@ -221,16 +222,43 @@ def final_dedupe(spark, d):
     return final_rows(spark, d)
 
 
-_PIVOT = ", ".join(f"max({_double('value_norm') if t in NUMERIC else 'value_norm'}) FILTER (varname = '{t}') AS \"{t}\"" for t in TARGETS)
+_NUMVARS = f"""numeric_vars AS (SELECT varname FROM (SELECT {S.varname("varname")} AS varname, unnest([lower(trim(coalesce("DataType", ''))), lower(trim(coalesce(format, '')))]) AS k FROM dictionary_lake)
+ WHERE varname <> '' GROUP BY varname HAVING bool_or(k IN {S.listed(T.NUMERIC_MARKERS)}) AND NOT bool_or(k IN {S.listed(wide.STRING_FORMATS)}))"""
+
+
+_CELL = f"CASE WHEN varname IN (SELECT varname FROM numeric_vars) THEN {_double('value_norm')} END AS num, CASE WHEN varname NOT IN (SELECT varname FROM numeric_vars) THEN value_norm END AS text"
+
+
+def all_targets(spark, d, final: DataFrame) -> tuple[list[str], set[str]]:
+    """All variables of the final rows, and the numeric ones: metadata."""
+    names = wide.order_targets([r.varname for r in final.where("value_norm is not null").select("varname").distinct().collect()])
+    return names, {r.varname for r in wide.numeric_variables(table(spark, d, "dictionary_lake")).collect()}
+
+
+def pivot_all(spark, d) -> DataFrame:
+    final = materialise(final_rows(spark, d), "final")
+    return wide.pivot_blocks(final, wide.spine(staged(spark, d)), *all_targets(spark, d, final))
 
 
-@query(f"{_FINAL} SELECT year, UNITID, {', '.join(TARGETS)} FROM (SELECT DISTINCT year, UNITID FROM stage) LEFT JOIN (SELECT year, UNITID, {_PIVOT} FROM final GROUP BY ALL) USING (year, UNITID)")
+def melted(panel: DataFrame) -> DataFrame:
+    """(year, UNITID, varname, num, text): the cells of a wide panel that hold something."""
+    return eav.melted(panel).select("year", "UNITID", "varname", "num", "text")
+
+
+@query(f"SELECT * FROM ({_FINAL}, {_NUMVARS} SELECT year, UNITID, varname, {_CELL} FROM final) WHERE num IS NOT NULL OR text IS NOT NULL")
 def pivot_typed(spark, d):
-    return wide.pivot(final_rows(spark, d), wide.spine(staged(spark, d)), TARGETS, NUMERIC)
+    return melted(pivot_all(spark, d))
 
 
-_NUMVARS = f"""numeric_vars AS (SELECT varname FROM (SELECT {S.varname("varname")} AS varname, unnest([lower(trim(coalesce("DataType", ''))), lower(trim(coalesce(format, '')))]) AS k FROM dictionary_lake)
- WHERE varname <> '' GROUP BY varname HAVING bool_or(k IN {S.listed(T.NUMERIC_MARKERS)}) AND NOT bool_or(k IN {S.listed(wide.STRING_FORMATS)}))"""
+@query(f"""{_DISC}, {_NUMVARS},
+ made AS (SELECT UNITID, year, CASE WHEN base IN (SELECT varname FROM kept) THEN base || '_CAT' ELSE base END AS varname, chosen_suffix AS value, chosen_suffix AS value_norm, '' AS source_file, '' AS varnumber, 1 AS origin FROM choice WHERE n_active = 1),
+ together AS (SELECT UNITID, year, varname, value, value_norm, source_file, varnumber, 0 AS origin FROM kept ANTI JOIN ind USING (varname) UNION ALL SELECT * FROM made),
+ fin AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY year, UNITID, varname ORDER BY origin, source_file, varnumber, coalesce(value_norm, ''), coalesce(value, '')) AS rn FROM together) WHERE rn = 1),
+ cells AS (SELECT year, UNITID, varname, {_CELL} FROM fin) SELECT * FROM cells WHERE num IS NOT NULL OR text IS NOT NULL""")
+def build_wide(spark, d):
+    """The whole build over the whole panel, its wide result melted back."""
+    o = WideOptions(dim_sources=DIM_SOURCES, dim_prefixes=DIM_PREFIXES, scalar_conflict_gate=False)
+    return melted(build(table(spark, d, "panel_long"), lake(spark, d), o).wide)
 
 
 @query(f"WITH {_NUMVARS} SELECT * FROM numeric_vars")
@@ -242,20 +270,23 @@ def numeric_targets(spark, d):
  c AS (SELECT year, varname, count(value_norm) AS n, count({_double("value_norm")}) AS p FROM final GROUP BY ALL)
  SELECT year, varname AS "column", coalesce(n, 0) AS non_empty_tokens, coalesce(p, 0) AS parsed_numeric_tokens, coalesce(n, 0) - coalesce(p, 0) AS failed_parse_tokens FROM g LEFT JOIN c USING (year, varname)""")
 def cast_report(spark, d):
-    return wide.cast_report(final_rows(spark, d), wide.numeric_variables(table(spark, d, "dictionary_lake")))
+    return wide.cast_report(materialise(final_rows(spark, d), "final"), wide.numeric_variables(table(spark, d, "dictionary_lake")))
 
 
-@query(f"""{_FINAL} SELECT year, n_rows, coalesce(n_vars, 0) AS n_vars, coalesce(ne, 0) AS non_empty_values, CAST(coalesce(dup, 0) AS BIGINT) AS dup_rows, round(coalesce(ne, 0) / (n_rows * 50), 9) AS fill_rate
+@query(f"""{_FINAL} SELECT year, n_rows, coalesce(n_vars, 0) AS n_vars, coalesce(ne, 0) AS non_empty_values, CAST(coalesce(dup, 0) AS BIGINT) AS dup_rows, round(coalesce(ne, 0) / (n_rows * (SELECT count(DISTINCT varname) FROM final WHERE value_norm IS NOT NULL)), 9) AS fill_rate
  FROM (SELECT year, count(*) AS n_rows FROM (SELECT DISTINCT year, UNITID FROM stage) GROUP BY year)
  LEFT JOIN (SELECT year, count(DISTINCT varname) AS n_vars, count(value_norm) AS ne FROM final GROUP BY year) USING (year)
  LEFT JOIN (SELECT year, sum(n) AS dup FROM (SELECT year, count(*) AS n FROM kept GROUP BY year, UNITID, varname HAVING count(*) > 1) GROUP BY year) USING (year)""")
 def year_qc_summary(spark, d):
-    return wide.year_summary(final_rows(spark, d), wide.spine(staged(spark, d)), 50, wide.duplicate_groups(kept_rows(spark, d)))
+    kept = materialise(kept_rows(spark, d), "kept")
+    final = materialise(wide.final_rows(kept), "final")
+    return wide.year_summary(final, wide.spine(staged(spark, d)), len(all_targets(spark, d, final)[0]), wide.duplicate_groups(kept))
 
 
-@query(f"""{_FINAL}, w AS (SELECT year, UNITID, {_PIVOT} FROM final GROUP BY ALL) SELECT * FROM (""" + " UNION ALL ".join(f"SELECT '{t}' AS \"column\", count({t}) AS non_null FROM w" for t in TARGETS) + ")")
+@query(f"""{_FINAL}, {_NUMVARS}, cells AS (SELECT varname, value_norm, {_CELL} FROM final)
+ SELECT varname AS "column", count(num) + count(text) AS non_null FROM cells GROUP BY varname HAVING count(value_norm) > 0""")
 def null_scan(spark, d):
-    return wide.empty_columns(wide.pivot(final_rows(spark, d), wide.spine(staged(spark, d)), TARGETS, NUMERIC))
+    return wide.empty_columns(pivot_all(spark, d))
 
 
 @query(f"""{_DISC}, f AS (SELECT varname, source_file, varnumber, count(*) AS a, count(value_norm) AS b FROM stage GROUP BY ALL)
@@ -320,10 +351,13 @@ def missing_unit_counts(spark, d):
     return longform.missing_units(table(spark, d, "panel_long"))
 
 
-@query("""SELECT year, access_table_name, "varTitle" FROM panel_long WHERE NOT (coalesce(trim("varTitle", ' '), '') = '' AND coalesce(trim(imputation_value, ' '), '') = '')""")
+_TEXTS = ["varTitle", "longDescription", "DataType", "format", "Fieldwidth", "imputationvar", "imputation_value"]
+
+
+@query(f"""SELECT row_id, {', '.join(f'"{c}"' for c in longform.PANEL_COLUMNS)} FROM panel_long WHERE NOT ({' AND '.join(f"""coalesce(trim("{c}", ' '), '') = ''""" for c in _TEXTS)})""")
 def blank_row_filter(spark, d):
-    rows = table(spark, d, "panel_long").select("year", "access_table_name", "varTitle", "imputation_value")
-    return longform.nonblank(rows, ["varTitle", "imputation_value"]).select("year", "access_table_name", "varTitle")
+    rows = table(spark, d, "panel_long").select("row_id", *longform.PANEL_COLUMNS)
+    return longform.nonblank(rows, _TEXTS)
 
 
 @query(f"""WITH {_LAKE}, t AS (SELECT year, {S.source_file("source_file")} AS s, upper({S.strip("access_table_name")}) AS a, count(*) AS n FROM panel_long GROUP BY ALL),
@@ -743,9 +777,10 @@ def duplicate_key_count(spark, d):
 def acceptance_audit(spark, d):
     raw = release_panel(spark, d)
     cleaned = clean.blank_children(raw, targets())
-    years = [r.year for r in raw.select("year").distinct().limit(10_000).collect()]
-    long = table(spark, d, "panel_long").where(F.col("year").isin(years))
-    checks = gates.acceptance(long, raw, cleaned, years, {"no_conflicts": raw.where("false")})
+    base = base_rows(spark, d)
+    years = list(range(2010, 2024))  # those the panel is delivered for
+    counters = {"no_scalar_conflicts": wide.conflict_keys(base), "no_duplicate_cells": wide.duplicate_groups(base), "units_known": longform.missing_units(table(spark, d, "panel_long")).where("n_missing > 0")}
+    checks = gates.acceptance(table(spark, d, "panel_long"), raw, cleaned, years, counters)
     return spark.createDataFrame([(c.name, c.status, c.detail) for c in checks], "name string, status string, detail string")
 
 

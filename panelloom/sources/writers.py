@@ -8,14 +8,19 @@ from collections.abc import Callable
 from dataclasses import asdict, is_dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Files that one year of a partitioned table is written to at most.
+YEAR_FILES = 16
 
 RUNS = "run_id long, started_at timestamp, stage string, years_spec string, lane_split boolean, typed_output boolean, persist_duckdb boolean, n_rows long, config_json string"
 
 
 def write_parquet(df: DataFrame, path: str, by_year: bool = False, max_rows_per_file: int = 0, mode: str = "overwrite") -> None:
-    """A parquet table; with ``by_year`` one folder per year, rows clustered so that a year isn't split over every task."""
+    """A parquet table; with ``by_year`` one folder per year, each written by up to ``YEAR_FILES`` tasks, so that a large year is
+    no single task."""
     if by_year:
-        df = df.repartition("year")
+        df = df.repartition("year", F.pmod(F.xxhash64(*[c for c in df.columns if c != "year"][:2]), F.lit(YEAR_FILES)))
     writer = df.write.mode(mode).option("compression", "snappy").option("maxRecordsPerFile", max_rows_per_file)
     (writer.partitionBy("year") if by_year else writer).parquet(path)
 
@@ -35,10 +40,16 @@ def publish(df: DataFrame, path: str, validate: Callable[[DataFrame], None], by_
     jvm = spark.sparkContext._jvm
     target, temp = jvm.org.apache.hadoop.fs.Path(path), jvm.org.apache.hadoop.fs.Path(staging)
     fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if fs.exists(target):
-        fs.delete(target, True)
+    aside = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}.before")
+    fs.delete(aside, True)
+    had = fs.exists(target)
+    if had and not fs.rename(target, aside):
+        raise OSError(f"could not move {path} aside")
     if not fs.rename(temp, target):
+        if had:
+            fs.rename(aside, target)
         raise OSError(f"could not move {staging} to {path}")
+    fs.delete(aside, True)
 
 
 def record_run(spark: SparkSession, path: str, stage: str, config: object, years_spec: str = "", n_rows: int | None = None) -> int:

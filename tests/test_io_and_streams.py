@@ -98,3 +98,19 @@ def test_latin1_after_many_plain_lines(spark, tmp_path):
     path = tmp_path / "late.csv"
     path.write_bytes(b"UNITID,NAME\n" + b"1,plain\n" * 500 + "2,Universit\u00e9\n".encode("latin-1"))
     assert readers.read_csv(spark, str(path)).where("UNITID = '2'").first().NAME == "Universit\u00e9"
+
+
+def test_bad_lines_are_listed(spark, tmp_path):
+    path = tmp_path / "bad.csv"
+    path.write_text("UNITID,N\n1,a\n2,b,c\n3,d\n")
+    assert [r.UNITID for r in readers.read_csv(spark, str(path)).collect()] == ["1", "3"] and readers.read_csv(spark, str(path)).count() == 2
+    assert [r.line for r in readers.bad_lines(spark, str(path)).collect()] == ["2,b,c"]
+    assert dict(readers.read_typed_csv(spark, str(path)).dtypes)["UNITID"] == "int"
+
+
+def test_published_table_is_replaced_whole(spark, tmp_path):
+    out = str(tmp_path / "t")
+    for n in (3, 5):
+        writers.publish(spark.range(n).selectExpr("id AS UNITID", "2010 AS year"), out, lambda d: None)
+        assert spark.read.parquet(out).count() == n
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["t"]

@@ -9,8 +9,8 @@ from panelloom.functions.policy import policy_of
 from panelloom.operators import clean, compare, dictionary, gates, longform, monitor, structure, wide
 from panelloom.operators.longform import GateError
 from panelloom.plans.catalog import SAVED, Catalog
-from panelloom.plans.options import WideOptions, parse_years
-from panelloom.plans.pipeline import build, clean_panel, run
+from panelloom.plans.options import HarmonizeOptions, WideOptions, parse_years
+from panelloom.plans.pipeline import build, clean_panel, harmonise, run
 from tests.test_data_operators import rows_of
 
 LONG = "year int, UNITID long, varname string, value string, source_file string, varnumber string"
@@ -31,8 +31,12 @@ def lake(spark, rows):
 def test_conflict_gate(spark):
     rows = long(spark, [(2010, 1, "A", "1", "S", "1"), (2010, 1, "A", "2", "S", "1"), (2010, 1, "B", "1", "S", "2"), (2010, 2, "A", ".", "S", "1"), (2010, 2, "A", "3", "S", "1")])
     d = lake(spark, [])
-    with pytest.raises(GateError):
+    with pytest.raises(GateError) as failed:
         build(rows, d)
+    assert rows_of(failed.value.evidence, "value_norm") == [("1",), ("2",)]  # written before the gate fails
+    with pytest.raises(GateError) as failed:
+        build(rows, d, WideOptions(conflict_max_rows=1))
+    assert failed.value.evidence.count() == 1
     b = build(rows, d, WideOptions(scalar_conflict_gate=False))
     assert b.qc["scalar_conflicts"].count() == 2
     assert rows_of(b.final, "UNITID", "varname", "value_norm") == [(1, "B", "1"), (2, "A", None)]  # a null beats a value of the same source
@@ -182,6 +186,45 @@ def test_compare(spark):
     assert rows_of(waived, "artifact", "severity") == [("a", "pass"), ("b", "fail")]
 
 
+def test_options_of_the_build(spark):
+    rows = long(spark, [(2010, 1, "A", "1", "S", "1"), (2010, 1, "PRG", "9", "S", "2"), (2010, 1, "E", ".", "S", "3"), (2011, 2, "A", "x", "S", "1"), (2011, 2, "F1", "1", "S", "4"), (2011, 2, "F2", "0", "S", "5"), (2011, 2, "F", "q", "S", "6"), (2011, 2, "F_CAT", "q", "S", "7")])
+    d = lake(spark, [{"varname": v, "DataType": t} for v, t in (("A", "num"), ("F1", "disc"), ("F2", "disc"))])
+    b = build(rows, d, WideOptions(anti_garbage_ids=("PRG",)))
+    assert b.targets == ["A", "F", "F_CAT", "F_CAT1"] and dict(b.wide.dtypes)["A"] == "double"
+    assert rows_of(b.wide, "UNITID", "A", "F", "F_CAT1") == [(1, 1.0, None, None), (2, None, "q", "1")]
+    assert rows_of(b.qc["cast_report"].where("year = 2011"), "column", "failed_parse_tokens") == [("A", 1)]
+    with pytest.raises(GateError):
+        build(rows, d, WideOptions(anti_garbage_ids=("PRG",), drop_anti_garbage_cols=False))
+    wide_open = build(rows, d, WideOptions(drop_empty_cols=False, drop_disc_components=False, typed_output=False))
+    assert set(wide_open.targets) == {"A", "PRG", "E", "F", "F_CAT", "F_CAT1", "F1", "F2"} and dict(wide_open.wide.dtypes)["A"] == "string"
+
+
+def test_harmonise_gates(spark):
+    cols = "year int, UNITID long, varname string, varnumber string, value string, imputation_value string, source_file string, access_table_name string"
+    one = spark.createDataFrame([(2010, 1, "A", "1", "b", None, "S", "T"), (2010, 1, "A", "1", "a", None, "S", "T"), (2010, None, "A", "1", "z", None, "S", "T")], cols)
+    two = spark.createDataFrame([(2011, 1, "A", "1", "c", None, "S", "T")], cols)
+    final = spark.createDataFrame([(2010, "Final"), (2011, "final ")], "year int, release_type string")
+    over = spark.createDataFrame([], "override_id long, year string, source_file string, access_table_name string, varname string, selected_varnumber string, selected_metadata_source string, selected_metadata_table_name string")
+    clear = lake(spark, [{"year": 2010, "varname": "A", "varnumber": "1", "source_file": "S", "access_table_name": "T"}])
+    panel, qc = harmonise([one, two], clear, over, final)
+    assert rows_of(panel, "year", "UNITID", "value") == [(2010, 1, "a"), (2011, 1, "c")] and qc["missing_units"].count() == 1
+    for args, options in (
+        ((clear, over, final.where("year = 2010")), HarmonizeOptions()),
+        ((clear, over, final), HarmonizeOptions(strict_units=True)),
+        ((lake(spark, [{"year": 2010, "varname": "A", "varnumber": n, "source_file": "S", "access_table_name": "T"} for n in "12"]), over, final), HarmonizeOptions()),
+    ):
+        with pytest.raises(GateError):
+            harmonise([one, two], *args, options)
+
+
+def test_many_years_and_targets_are_not_cut(spark):
+    years = spark.range(10_001).selectExpr("CAST(id AS INT) AS year", "1L AS UNITID")
+    assert longform.year_difference(years, list(range(10_001))) == ([], [])
+    final = long(spark, [(2010, 1, "V20000", "5", "S", "1")]).withColumn("value_norm", F.col("value"))
+    got = wide.cast_report(final, spark.range(20_001).selectExpr("concat('V', id) AS varname"))
+    assert got.count() == 20_001 and rows_of(got.where("non_empty_tokens > 0"), "column") == [("V20000",)]
+
+
 def test_acceptance_and_contract(spark, tmp_path):
     key = "year int, UNITID long, varnumber string, source_file string"
     long_rows = spark.createDataFrame([(2010, 1, "1", "S")], key)
