@@ -791,29 +791,41 @@ def acceptance_audit(spark, d):
  t AS (SELECT varname, {_best('"varTitle"')} AS title, {_best('"longDescription"')} AS description FROM lake GROUP BY varname), s AS (SELECT varname, source_file, count(*) AS n FROM lake WHERE source_file <> '' GROUP BY ALL),
  p AS (SELECT varname, list(source_file ORDER BY -n, source_file)[1] AS primary_source, count(*) AS source_count FROM s GROUP BY varname),
  c AS (SELECT varname, count(DISTINCT year) AS n_years, min(year) AS year_min, max(year) AS year_max, count(DISTINCT (year, UNITID)) AS filled, count({_double("value_norm")}) AS nn, count(*) AS nv FROM stage WHERE value_norm IS NOT NULL GROUP BY varname),
+ dc AS (SELECT varname, trim("DataType") AS v, count(*) AS n FROM lake WHERE lower(trim("DataType")) NOT IN ('', 'nan', 'none', '<na>', 'nat') GROUP BY ALL),
+ dm AS (SELECT varname, list(v ORDER BY -n, v)[1] AS declared FROM dc GROUP BY varname),
  r AS (SELECT *, round(filled * 100 / uy, 4) AS completeness FROM c CROSS JOIN w)
  SELECT varname, coalesce(title, '') AS title, coalesce(description, '') AS description, coalesce(primary_source, '') AS primary_source, coalesce(source_count, 0) AS source_count, year_min, year_max, n_years, completeness,
   CASE WHEN completeness >= 95 THEN 'full' WHEN completeness >= 75 THEN 'strong' WHEN completeness >= 40 THEN 'partial' ELSE 'sparse' END AS completeness_bucket,
   CASE WHEN n_years >= wn THEN 'full-window' WHEN n_years >= greatest(3, round_even(wn * 0.75, 0)) THEN 'broad' WHEN n_years >= greatest(2, round_even(wn * 0.4, 0)) THEN 'partial' ELSE 'limited' END AS coverage_bucket,
   CASE WHEN nn = nv THEN 'numeric' ELSE 'string' END AS panel_type,
-  CASE WHEN varname IN ('UNITID', 'OPEID', 'OPEID6') OR varname LIKE '%URL' OR contains(varname || ' ' || upper(coalesce(title, '')), ' IDENTIFIER') THEN 'identifier'
-   WHEN regexp_matches(varname || ' ' || upper(coalesce(title, '')), ' WEBSITE| ADDRESS| CITY| ZIP| PHONE| NAME') THEN 'text'
-   WHEN regexp_matches(varname || ' ' || upper(coalesce(title, '')), ' FLAG| STATUS| INDICATOR') OR varname LIKE '%FLG' OR starts_with(varname, 'PRCH_') THEN 'flag'
-   WHEN regexp_matches(varname || ' ' || upper(coalesce(title, '')), 'PERCENT| RATE| RATIO| SHARE') OR varname LIKE '%PCT' OR varname LIKE 'PCT%' THEN 'rate'
-   WHEN starts_with(upper(coalesce(title, '')), 'NUMBER OF') OR regexp_matches(varname || ' ' || upper(coalesce(title, '')), ' NUMBER OF | HEADCOUNT| ENROLLMENT') THEN 'count'
-   WHEN regexp_matches(varname || ' ' || upper(coalesce(title, '')), ' AMOUNT| TUITION| FEE| COST| PRICE| EXPENSE| REVENUE| ASSET| SALARY| ENDOWMENT| CHARGE') THEN 'amount' ELSE 'measure' END AS variable_form
- FROM r LEFT JOIN t USING (varname) LEFT JOIN p USING (varname)""")
+  CASE WHEN varname IN ('UNITID', 'OPEID', 'OPEID6', 'PEO1OPEID', 'DFRCGID', 'DFRCUSCG') OR varname LIKE '%URL' OR contains(w2, ' IDENTIFIER') THEN 'identifier'
+   WHEN regexp_matches(w2, ' WEBSITE| WEB ADDRESS| ADDRESS| CITY| ZIP| URL| PHONE') THEN 'text'
+   WHEN regexp_matches(w2, ' FLAG| STATUS| INDICATOR') OR varname LIKE '%FLG' OR starts_with(varname, 'PRCH_') THEN 'flag'
+   WHEN regexp_matches(w2, 'PERCENT| RATE| RATIO| SHARE') OR ends_with(varname, '_P') OR varname LIKE '%PCT' OR varname LIKE 'PCT%' THEN 'rate'
+   WHEN starts_with(upper(trim(coalesce(title, ''))), 'NUMBER OF') OR regexp_matches(w2, ' NUMBER OF | HEADCOUNT| ENROLLMENT') OR (contains(w2, ' STUDENT') AND regexp_matches(w2, ' RECEIVING| RECIPIENT'))
+     OR ends_with(varname, '_N') OR regexp_matches(varname, '(AID|GRNT|LOAN|ENR|RET|ADM).*N$') OR (ends_with(varname, 'N') AND regexp_matches(varname, 'AID|GRNT|LOAN|ENR|RET|ADM')) THEN 'count'
+   WHEN regexp_matches(w2, ' AMOUNT| TUITION| FEE| COST| PRICE| EXPENSE| EXPENDITURE| REVENUE| ASSET| LIABILITY| SALARY| ENDOWMENT| NET PRICE') THEN 'amount'
+   WHEN (nn <> nv OR upper(coalesce(declared, '')) IN ('A', 'DISC')) THEN CASE WHEN regexp_matches(w2, ' NAME| TITLE| DESCRIPTION') THEN 'text' ELSE 'category' END ELSE 'measure' END AS variable_form,
+  component, family
+ FROM (SELECT *, varname || ' ' || upper(trim(coalesce(title, ''))) AS w2, {rules.family_sql('component', 'w3')} AS family FROM (SELECT *, {rules.component_sql("coalesce(primary_source, '')", 'w3')} AS component FROM (SELECT *, upper(concat_ws(' ', varname, coalesce(title, ''), coalesce(description, ''))) AS w3 FROM r LEFT JOIN t USING (varname) LEFT JOIN p USING (varname) LEFT JOIN dm USING (varname))))""")
 def variable_profile(spark, d):
     return profile.variable_profile(staged(spark, d), lake(spark, d))
 
 
-@query()
+@query(ORACLES["variable_profile"].replace("WITH ", "WITH prof AS (WITH ", 1) + """),
+ v AS (SELECT *, list_distinct(list_filter(regexp_extract_all(upper(concat_ws(' ', varname, title, description, family)), '[A-Z0-9]+'), lambda w: length(w) >= 3 AND w NOT IN ('THE', 'AND', 'FOR', 'WITH', 'FROM', 'THAT', 'THIS',
+   'WITHIN', 'RATE', 'TOTAL', 'NUMBER', 'STUDENT', 'STUDENTS', 'VARIABLE', 'IPEDS', 'DATA', 'INSTITUTION', 'INSTITUTIONS'))) AS ws,
+   list_filter([upper(varname), regexp_replace(upper(varname), '[0-9]+$', ''), regexp_extract(upper(varname), '^[A-Z]+')], lambda r: length(r) >= 3) AS rs FROM prof),
+ z AS (SELECT a.varname, b.varname AS other, CAST(20 * CAST(a.component = b.component AS INT) + 35 * CAST(a.family = b.family AS INT) + 8 * CAST(a.variable_form = b.variable_form AS INT)
+   + 6 * CAST(a.primary_source <> '' AND a.primary_source = b.primary_source AS INT) + 18 * CAST(list_has_any(a.rs, b.rs) AS INT) + 3 * len(list_intersect(a.ws, b.ws)) AS INTEGER) AS score FROM v a JOIN v b ON a.varname <> b.varname)
+ SELECT *, CAST(row_number() OVER (PARTITION BY varname ORDER BY score DESC, other) AS INTEGER) AS rank FROM z WHERE score >= 28 QUALIFY rank <= 6""")
 def related_variables(spark, d):
     return profile.related(variable_profile(spark, d))
 
 
 @query(ORACLES["variable_profile"].replace("WITH ", "WITH prof AS (WITH ", 1) + """) SELECT *, CAST(CASE WHEN lower(varname) = 'staff' THEN 140 WHEN starts_with(lower(varname), 'staff') THEN 115 WHEN contains(lower(varname), 'staff') THEN 92
- WHEN contains(lower(title), 'staff') THEN 74 WHEN contains(variable_form, 'staff') THEN 68 WHEN lower(primary_source) = 'staff' THEN 64 WHEN contains(lower(description), 'staff') THEN 34 ELSE 0 END AS INTEGER) AS score FROM prof WHERE score > 0 AND panel_type = 'string'""")
+ WHEN contains(lower(title), 'staff') THEN 74 WHEN contains(variable_form, 'staff') THEN 68 WHEN lower(primary_source) = 'staff' THEN 64 WHEN contains(lower(family), 'staff') THEN 62
+ WHEN contains(lower(component), 'staff') THEN 58 WHEN contains(lower(description), 'staff') THEN 34 ELSE 0 END AS INTEGER) AS score FROM prof WHERE score > 0 AND panel_type = 'string'""")
 def variable_search(spark, d):
     return profile.search(variable_profile(spark, d), "Staff", panel_type="string")
 
