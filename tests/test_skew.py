@@ -34,7 +34,7 @@ def skewed(folder, tmp_path_factory):
     return str(out), con
 
 
-@pytest.mark.parametrize("name", ["p1_found", "p1_cells", "p2_found", "p4_found", "p5_found", "p6_found"])
+@pytest.mark.parametrize("name", ["p1_found", "p1_long", "p2_found", "p4_found", "p5_found", "p6_found"])
 def test_hot_key(spark, skewed, name):
     where, con = skewed
     df = data_queries.QUERIES[name](spark, where)
